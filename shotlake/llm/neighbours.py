@@ -5,9 +5,10 @@ exact reranking.
 
 1. Centroids and codebooks are fitted on a bounded sample (``TRAIN`` rows at most, whatever the size of
    the collection). Every row is indexed.
-2. A vector goes to the list of its nearest centroid and to those of centroids nearly as near
-   (``SPREAD``, at most ``PROBES``), as its list number, its code (``PARTS`` bytes), a scale that makes
-   the asymmetric estimate unbiased, and the vector itself, packed. Vectors that are equal and lie in
+2. Nearness to a centroid is the cosine after the sample's mean is taken off; with the mean on, the
+   lists near it would draw most of the collection. A vector goes to the list of its nearest centroid
+   and to those of centroids nearly as near (``SPREAD``, at most ``PROBES``), as its list number, its code (``PARTS`` bytes), a scale and a shift
+   that make the asymmetric estimate unbiased, and the vector itself, packed. Vectors that are equal and lie in
    one task are sent once, so a vector with a great many copies adds one row a task.
 3. In each list every vector is a query: its table of dot products with the codebooks gives estimates
    for all members, and those near ``least`` and not far below its ``k``-th best estimate are
@@ -34,12 +35,12 @@ from pyspark.sql import functions as F
 
 #: Rows that centroids and codebooks are fitted on, at most.
 TRAIN = 8192
-#: Members that a list should have, on average, and lists at most.
-LIST, MOST_LISTS = 256, 2048
+#: Members that a list should have, on average, and lists at most (and one for 8 rows of the sample at most).
+LIST, MOST_LISTS = 100, 1024
 PARTS = 32
-PROBES, SPREAD = 4, 0.08
+PROBES, SPREAD = 4, 0.03
 #: Estimates may fall short of the exact cosine by so much.
-SLACK = 0.15
+SLACK = 0.12
 TIE = 1e-5
 #: A list expected to hold more rows is spread over tasks.
 HOT = 20_000
@@ -64,31 +65,44 @@ def _matrix(col: pa.ListArray, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return rows, flat.to_numpy(zero_copy_only=False).astype(np.float32).reshape(len(rows), dim)
 
 
-def _kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
+def _means(x: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number, mean) of the clusters that have members."""
+    order = np.argsort(near, kind="stable")
+    at = np.nonzero(np.r_[True, np.diff(near[order]) > 0])[0]
+    return near[order][at], np.add.reduceat(x[order], at, axis=0) / np.diff(np.r_[at, len(x)])[:, None]
+
+
+def _kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator, unit: bool = False) -> np.ndarray:
+    """Centroids; with ``unit`` they and nearness are those of directions."""
     c = x[rng.choice(len(x), k, replace=len(x) < k)].copy()
     for _ in range(rounds):
-        near = (x @ c.T - 0.5 * (c * c).sum(1)).argmax(1)
-        order = np.argsort(near, kind="stable")
-        at = np.nonzero(np.r_[True, np.diff(near[order]) > 0])[0]
-        got = near[order][at]
-        c[got] = np.add.reduceat(x[order], at, axis=0) / np.diff(np.r_[at, len(x)])[:, None]
+        d = x @ c.T
+        if not unit:
+            d -= 0.5 * (c * c).sum(1)
+        got, mean = _means(x, d.argmax(1))
+        c[got] = _unit(mean)[0] if unit else mean
         empty = np.setdiff1d(np.arange(k), got)
         c[empty] = x[rng.integers(0, len(x), len(empty))]
     return c
 
 
 class Quantizer:
-    """Coarse centroids and codebooks of the residuals' parts."""
+    """Directions that assign vectors to lists, the lists' centroids, and codebooks of the residuals' parts."""
 
     def __init__(self, sample: np.ndarray, lists: int, seed: int = 1):
         rng = np.random.default_rng(seed)
-        self.centroids = _kmeans(sample, lists, 6, rng)
+        self.mean = sample.mean(0) if len(sample) > 1 else np.zeros_like(sample[0])
+        self.directions = _kmeans(_unit(sample - self.mean)[0], lists, 3, rng, unit=True)
+        home = self.nearest(sample)[0][:, 0]
+        self.centroids = np.tile(self.mean, (lists, 1))
+        got, mean = _means(sample, home)
+        self.centroids[got] = mean
         dim = sample.shape[1]
         self.parts = min(PARTS, dim)
         self.width = -(-dim // self.parts)
-        res = self._split(sample - self.centroids[self.nearest(sample)[0][:, 0]])
+        res = self._split(sample - self.centroids[home])
         self.books = np.stack([_kmeans(res[:, m], 256, 4, rng) for m in range(self.parts)])
-        self.share = np.bincount(self.nearest(sample)[0][:, 0], minlength=lists) / len(sample)
+        self.share = np.bincount(home, minlength=lists) / len(sample)
 
     def _split(self, x: np.ndarray) -> np.ndarray:
         pad = self.parts * self.width - x.shape[1]
@@ -96,7 +110,7 @@ class Quantizer:
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The PROBES nearest centroids, nearest first, and how much less near than the first each is."""
-        d = x @ self.centroids.T - 0.5 * (self.centroids**2).sum(1)
+        d = _unit(x - self.mean)[0] @ self.directions.T
         p = min(PROBES, d.shape[1])
         top = np.argpartition(-d, p - 1, axis=1)[:, :p] if p < d.shape[1] else np.tile(np.arange(p), (len(d), 1))
         v = np.take_along_axis(d, top, 1)
@@ -104,17 +118,27 @@ class Quantizer:
         v = np.take_along_axis(v, order, 1)
         return np.take_along_axis(top, order, 1), v[:, :1] - v
 
-    def encode(self, x: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of the residuals, and x . (centroid + decoded residual)."""
-        res = self._split(x - self.centroids[home])
+    def encode(self, x: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes of the residuals, with the scale and shift of estimates.
+
+        With x = m + r and the decoded residual d, q . x = q . m + m . r + (q - m) . r, and
+        (q - m) . r is estimated without bias by scale (q - m) . d, scale = r . r / r . d. So the estimate is
+        q . m + scale (q . d) + shift.
+        """
+        m = self.centroids[home]
+        r = x - m
+        res, mid = self._split(r), self._split(m)
         codes = np.empty((len(x), self.parts), np.uint8)
-        dot = np.einsum("ij,ij->i", x, self.centroids[home])
-        whole = self._split(x)
-        for m in range(self.parts):
-            b = self.books[m]
-            codes[:, m] = (res[:, m] @ b.T - 0.5 * (b * b).sum(1)).argmax(1)
-            dot += np.einsum("ij,ij->i", whole[:, m], b[codes[:, m]])
-        return codes, dot
+        rd, md = np.zeros(len(x), np.float32), np.zeros(len(x), np.float32)
+        for k in range(self.parts):
+            b = self.books[k]
+            codes[:, k] = (res[:, k] @ b.T - 0.5 * (b * b).sum(1)).argmax(1)
+            d = b[codes[:, k]]
+            rd += np.einsum("ij,ij->i", res[:, k], d)
+            md += np.einsum("ij,ij->i", mid[:, k], d)
+        rr = np.einsum("ij,ij->i", r, r)
+        scale = np.where(rd > 0.1 * rr, rr / np.maximum(rd, 1e-12), 0).astype(np.float32)
+        return codes, scale, (np.einsum("ij,ij->i", m, r) - scale * md).astype(np.float32)
 
     def tables(self, q: np.ndarray) -> np.ndarray:
         """(parts, queries, 256): dot products of the queries' parts with the codebooks."""
@@ -143,9 +167,7 @@ def _index(quant: Quantizer, dim: int, blocks: np.ndarray):
                 if not len(x):
                     continue
                 near, less = quant.nearest(x)
-                codes, dot = quant.encode(x, near[:, 0])
-                # q . decoded / (x . decoded) estimates q . x without bias; a decoded vector that is no help gets a wide estimate.
-                scale = (1 / np.maximum(dot, 0.05)).astype(np.float32)
+                codes, scale, shift = quant.encode(x, near[:, 0])
                 packed = [pack.compress(v.tobytes()) for v in x]
                 i, j = np.nonzero(less <= SPREAD)
                 lists, n = near[i, j], blocks[near[i, j]]
@@ -157,13 +179,13 @@ def _index(quant: Quantizer, dim: int, blocks: np.ndarray):
                 flat = codes[i].tobytes()
                 w = codes.shape[1]
                 code = [flat[a * w : a * w + w] for a in range(len(i))]
-                cols = [pa.array(lists * 4096 + blk), pa.array(ha[i]), pa.array(hb[i]), pa.array(own), pa.array(home.astype(np.int32)), pa.array(code, pa.binary()), pa.array(scale[i]), pa.array([packed[a] for a in i.tolist()], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["list", "ha", "hb", "own", "home", "code", "scale", "vec"])
+                cols = [pa.array(lists * 4096 + blk), pa.array(ha[i]), pa.array(hb[i]), pa.array(own), pa.array(home.astype(np.int32)), pa.array(code, pa.binary()), pa.array(scale[i]), pa.array(shift[i]), pa.array([packed[a] for a in i.tolist()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["list", "ha", "hb", "own", "home", "code", "scale", "shift", "vec"])
 
     return run
 
 
-_LIST_SCHEMA = "list bigint, ha bigint, hb bigint, own boolean, home int, code binary, scale float, vec binary"
+_LIST_SCHEMA = "list bigint, ha bigint, hb bigint, own boolean, home int, code binary, scale float, shift float, vec binary"
 
 
 def _search(quant: Quantizer, dim: int, k: int, least: float):
@@ -176,7 +198,7 @@ def _search(quant: Quantizer, dim: int, k: int, least: float):
             return
         rows = rows.take(pa.array(keep))
         ha, hb, own = ha[keep], hb[keep], rows["own"].to_numpy(zero_copy_only=False)
-        home, scale = rows["home"].to_numpy(), rows["scale"].to_numpy()
+        home, scale, shift = rows["home"].to_numpy(), rows["scale"].to_numpy(), rows["shift"].to_numpy()
         codes = np.frombuffer(b"".join(rows["code"].to_pylist()), np.uint8).reshape(len(keep), quant.parts)
         vec = rows["vec"].combine_chunks()
         vectors = lambda at: np.frombuffer(b"".join(unpack.decompress(v.as_py()) for v in vec.take(pa.array(at))), np.float32).reshape(len(at), dim)
@@ -192,10 +214,11 @@ def _search(quant: Quantizer, dim: int, k: int, least: float):
             kth = np.full(len(qi), -1.0, np.float32)
             for b in range(0, len(keep), 2048):
                 c = codes[b : b + 2048]
-                est = coarse[:, place[b : b + 2048]]
-                for m in range(quant.parts):
+                est = lut[0].take(c[:, 0], axis=1)
+                for m in range(1, quant.parts):
                     est += lut[m].take(c[:, m], axis=1)
                 est *= scale[b : b + 2048]
+                est += coarse[:, place[b : b + 2048]] + shift[b : b + 2048]
                 est[qi[:, None] == np.arange(b, b + len(c))] = -1
                 if len(c) >= k:  # the k-th best so far
                     kth = np.maximum(kth, -np.partition(-est, k - 1, axis=1)[:, k - 1])

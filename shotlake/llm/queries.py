@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shotlake.llm import canon, leaks, neighbours, spans, tokens
+from shotlake.llm import canon, leaks, lines, neighbours, runs, spans, tokens, truncation
 from shotlake.sources.tables import table
 
 
@@ -15,6 +15,27 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return neighbours.near_pairs(table(spark, d, "milvus_entity"), "frame_id", "embedding").select(F.col("a").alias("frame_id_a"), F.col("b").alias("frame_id_b"))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncated(table(spark, d, "frame_doc"), "_id", "batch", "caption").select(F.col("id").alias("frame_id"))
+
+
+def p2_share(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncation_share(table(spark, d, "frame_doc"), "_id", "batch", "caption")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    t = runs.repeated_runs(table(spark, d, "frame_doc"), "video_id", "_id", "timestamp_ms", "ocr_text")
+    return t.select(F.col("group").alias("video_id"), F.col("first").alias("first_frame_id"), F.col("n").alias("n_frames"), F.col("duration").alias("duration_ms"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return lines.repeated_lines(table(spark, d, "frame_doc"), "_id", "video_id", "shot_id", "ocr_text").select(F.col("id").alias("frame_id"), "line_no")
+
+
+def p5_clean(spark: SparkSession, d: str) -> DataFrame:
+    return lines.without_repeated(table(spark, d, "frame_doc"), "_id", "video_id", "shot_id", "ocr_text").withColumnRenamed("id", "frame_id")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     frames, es = table(spark, d, "frame_doc"), table(spark, d, "es_doc")
     return canon.changed_cells(frames, "_id", "ocr_text").unionByName(canon.changed_cells(frames, "_id", "caption")).unionByName(canon.changed_cells(es, "frame_id", "transcript"))
@@ -43,7 +64,7 @@ def p9_shared(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p6_found, p6_texts, p7_ids, p8_found, p9_found, p9_shared)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_share, p3_found, p5_found, p5_clean, p6_found, p6_texts, p7_ids, p8_found, p9_found, p9_shared)}
 
 
 def oracle_sql() -> dict[str, str]:
