@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows that centroids and codebooks are fitted on, at most.
-TRAIN = 8192
-#: Members that a list should have, on average, and lists at most (and one for 8 rows of the sample at most).
+TRAIN = 6000
+#: Members that a list should have, on average, and lists at most (and one for 6 rows of the sample at most).
 LIST, MOST_LISTS = 100, 1024
 PARTS = 32
 PROBES, SPREAD = 4, 0.03
@@ -106,7 +106,7 @@ class Quantizer:
 
     def _split(self, x: np.ndarray) -> np.ndarray:
         pad = self.parts * self.width - x.shape[1]
-        return np.pad(x, ((0, 0), (0, pad))).reshape(len(x), self.parts, self.width)
+        return (np.pad(x, ((0, 0), (0, pad))) if pad else x).reshape(len(x), self.parts, self.width)
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The PROBES nearest centroids, nearest first, and how much less near than the first each is."""
@@ -149,7 +149,7 @@ def _index(quant: Quantizer, dim: int, blocks: np.ndarray):
     """frame vectors -> rows of lists. A row for each list of the vector and, of hot lists, for each block of queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1)
+        pack = zstandard.ZstdCompressor(level=3)
         sent: set[tuple[int, int]] = set()
         for whole in batches:
             for part in range(0, whole.num_rows, 2000):
@@ -278,7 +278,7 @@ def _fit(df: DataFrame, vector: str, dim: int, rows: int) -> Quantizer | None:
     col = t.limit(TRAIN).toArrow()["v"].combine_chunks()
     x, ok = _unit(_matrix(col, dim)[1])
     x = x[ok]
-    return Quantizer(x, int(np.clip(rows // LIST, 1, min(MOST_LISTS, max(1, len(x) // 8))))) if len(x) else None
+    return Quantizer(x, int(np.clip(rows // LIST, 1, min(MOST_LISTS, max(1, len(x) // 6))))) if len(x) else None
 
 
 def near_classes(df: DataFrame, key: str, vector: str, dim: int, k: int, least: float) -> tuple[DataFrame, DataFrame]:
