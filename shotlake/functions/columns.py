@@ -47,12 +47,12 @@ def _accents() -> tuple[str, str]:
     return "".join(src), "".join(dst)
 
 
-_FROM, _TO = _accents()
+ACCENTED, PLAIN = _accents()
 
 
 def fold_accents(c: Column) -> Column:
     """Marks dropped, đ and Đ taken as d and D; decomposed input too."""
-    return F.regexp_replace(F.translate(c, _FROM, _TO), "\\p{M}", "")
+    return F.regexp_replace(F.translate(c, ACCENTED, PLAIN), "\\p{M}", "")
 
 
 def has_diacritics(c: Column) -> Column:
@@ -147,7 +147,7 @@ def clean_label(c: Column) -> Column:
 
 def fold_accents_only(c: Column) -> Column:
     """Marks dropped by decomposition only: đ has none and stays."""
-    pairs = [(a, b) for a, b in zip(_FROM, _TO) if a not in "đĐ"]
+    pairs = [(a, b) for a, b in zip(ACCENTED, PLAIN) if a not in "đĐ"]
     return F.regexp_replace(F.translate(c, "".join(a for a, _ in pairs), "".join(b for _, b in pairs)), "\\p{M}", "")
 
 

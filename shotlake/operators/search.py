@@ -124,12 +124,12 @@ def within_one(a: str, b: str) -> Column:
 
 
 def hits(scores: DataFrame, docs: DataFrame, key: str, k: int = 100, video_ids: list[str] | None = None, frame_ids: list[str] | None = None, min_score: float | None = None) -> DataFrame:
-    """The best k with the columns of a hit; filters and min_score apply before, ties go by id."""
+    """The best k with the columns of a hit; filters and min_score apply before, ties (to six places) go by id."""
     d = docs.where(in_filter(F.col("video_id"), video_ids, False) & in_filter(F.col(key), frame_ids, True))
     t = scores.join(d.select(F.col(key).alias("doc"), "video_id", "shot_id", "frame_idx", "timestamp_ms"), "doc")
     if min_score is not None:
         t = t.where(F.col("score") >= min_score)
-    return t.select(F.col("doc").alias("keyframe_id"), "video_id", "shot_id", "frame_idx", "timestamp_ms", "score").orderBy(F.desc("score"), "keyframe_id").limit(k)
+    return t.select(F.col("doc").alias("keyframe_id"), "video_id", "shot_id", "frame_idx", "timestamp_ms", "score").orderBy(F.desc(F.round("score", 6)), "keyframe_id").limit(k)
 
 
 def vector_scores(entities: DataFrame, key: str, vector: str, query: Sequence[float]) -> DataFrame:

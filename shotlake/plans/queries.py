@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shotlake.operators import dyadic
+from shotlake.plans import core_queries
 from shotlake.sources.tables import table
 
 
@@ -20,11 +21,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found}
+    return {"p4_found": p4_found} | core_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": P4_FOUND}
+    return {"p4_found": P4_FOUND} | core_queries.SQL
 
 
 P4_FOUND = """
