@@ -38,7 +38,9 @@ TRAIN = 6000
 #: Members that a list should have, on average, and lists at most (and one for 6 rows of the sample at most).
 LIST, MOST_LISTS = 100, 1024
 PARTS = 32
-PROBES, SPREAD = 4, 0.03
+#: Lists of a vector at most, and how much less near than the first they may be, in units of 1 / sqrt(dim):
+#: so much the nearness to a direction scatters between two vectors of one neighbourhood.
+PROBES, SPREAD = 4, 1.0
 #: Estimates may fall short of the exact cosine by so much.
 SLACK = 0.12
 TIE = 1e-5
@@ -169,7 +171,7 @@ def _index(quant: Quantizer, dim: int, blocks: np.ndarray):
                 near, less = quant.nearest(x)
                 codes, scale, shift = quant.encode(x, near[:, 0])
                 packed = [pack.compress(v.tobytes()) for v in x]
-                i, j = np.nonzero(less <= SPREAD)
+                i, j = np.nonzero(less <= SPREAD / np.sqrt(dim))
                 lists, n = near[i, j], blocks[near[i, j]]
                 rep = np.repeat(np.arange(len(i)), n)
                 blk = np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)

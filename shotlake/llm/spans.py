@@ -159,7 +159,7 @@ def _search(length: int, every: bool):
     """Over rows sorted by shard: pairs of snippets (a, b) that share a window; or (a, b, offset) of every such window of a."""
 
     def flush(rows: list[tuple]) -> pa.RecordBatch | None:
-        if len(rows) < 2:
+        if len(rows) < 2 or not any(r[4] for r in rows):
             return None
         ids, snips, leads, anch, queries = zip(*rows)
         index = FMIndex([np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) for x in snips])
