@@ -76,13 +76,29 @@ class TextIndex:
         return t.withColumn("r", F.row_number().over(w)).where((F.col("q") == F.col("term")) | (F.col("r") <= EXPANSIONS)).drop("r")
 
     def _scored(self, pairs: DataFrame) -> DataFrame:
-        """field, q, doc, s, exact: each query word's best hit in each document."""
-        df = self.postings.join(F.broadcast(pairs), ["field", "term"])
-        df = df.join(F.broadcast(self.stats), "field").withColumn("df", F.count("*").over(Window.partitionBy("field", "q", "term")))
+        """field, q, doc, s, x: each query word's best hit in each document, and its exact hit.
+
+        pairs (a query's words and their few expansions) and the statistics are bounded and broadcast.
+        """
+        hits = self.postings.join(F.broadcast(pairs), ["field", "term"])
+        df = hits.groupBy("field", "q", "term").agg(F.count("*").alias("df"))
+        hits = hits.join(F.broadcast(self.stats), "field").join(F.broadcast(df), ["field", "q", "term"])
         idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
         tf = F.col("tf") / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avg_dl")))
-        df = df.withColumn("s", idf * tf * F.col("weight"))
-        return df.groupBy("field", "doc", "q").agg(F.max("s").alias("s"), F.max(F.when(F.col("q") == F.col("term"), F.col("s"))).alias("x"))
+        hits = hits.withColumn("s", idf * tf * F.col("weight"))
+        return hits.groupBy("field", "doc", "q").agg(F.max("s").alias("s"), F.max(F.when(F.col("q") == F.col("term"), F.col("s"))).alias("x"))
+
+    def write(self, path: str) -> None:
+        """The index as tables, postings laid out by term, so that a search reads few files."""
+        self.postings.repartitionByRange("field", "term").sortWithinPartitions("field", "term", "doc").write.mode("overwrite").parquet(f"{path}/postings")
+        self.stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
+
+    @classmethod
+    def read(cls, docs: DataFrame, key: str, path: str) -> TextIndex:
+        index = cls.__new__(cls)
+        index.docs, index.key = docs, key
+        index.postings, index.stats = docs.sparkSession.read.parquet(f"{path}/postings"), docs.sparkSession.read.parquet(f"{path}/stats")
+        return index
 
     def bm25(self, query: str, field: str) -> DataFrame:
         """doc, score: plain OR of the query's words."""
