@@ -356,6 +356,13 @@ def _terms(field: str, fold: bool = True) -> str:
     return f"regexp_extract_all({text}, '[\\p{{L}}\\p{{N}}]+')"
 
 
+# One edit at most, counted in characters (the distance functions of SQL count bytes): equal, a letter more or less, another, or two swapped.
+_WITHIN_ONE = """(q = term OR (length(term) = length(q) + 1 AND list_contains(list_transform(range(1, length(term) + 1), lambda i: substring(term, 1, i - 1) || substring(term, i + 1)), q))
+ OR (length(q) = length(term) + 1 AND list_contains(list_transform(range(1, length(q) + 1), lambda i: substring(q, 1, i - 1) || substring(q, i + 1)), term))
+ OR (length(q) = length(term) AND (list_contains(list_transform(range(1, length(q) + 1), lambda i: substring(q, 1, i - 1) || substring(q, i + 1) = substring(term, 1, i - 1) || substring(term, i + 1)), TRUE)
+  OR list_contains(list_transform(range(1, length(q)), lambda i: substring(q, 1, i - 1) || substring(q, i + 1, 1) || substring(q, i, 1) || substring(q, i + 2)), term))))"""
+
+
 def _bm25_sql(field: str, words: list[str]) -> str:
     return f"""WITH {ES}, t AS (SELECT frame_id, {_terms(field)} AS w FROM es WHERE {field} IS NOT NULL), u AS (SELECT frame_id, w, len(w) AS dl FROM t WHERE len(w) > 0),
 st AS (SELECT count(*) AS n, avg(dl) AS avg_dl FROM u), q AS (SELECT unnest({words!r}) AS q),
@@ -371,7 +378,7 @@ def bm25_or(s, d):
 
 
 @query(f"""WITH {ES}, t AS (SELECT DISTINCT unnest({_terms('caption')}) AS term FROM es WHERE caption IS NOT NULL), q AS (SELECT unnest({search.query_words(_QUERY)!r}) AS q),
-x AS (SELECT q, term, CASE WHEN q = term THEN 1.0 ELSE 1 - 1 / least(length(q), length(term)) END AS weight FROM t, q WHERE damerau_levenshtein(q, term) <= 1),
+x AS (SELECT q, term, CASE WHEN q = term THEN 1.0 ELSE 1 - 1 / least(length(q), length(term)) END AS weight FROM t, q WHERE {_WITHIN_ONE}),
 r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY weight DESC, term) AS r FROM x WHERE weight > 0) SELECT q, term, round(weight, 6) AS weight FROM r WHERE r <= 10 OR q = term""")
 def fuzzy_terms(s, d):
     docs = table(s, d, "es_doc").dropDuplicates(["frame_id"])
@@ -395,7 +402,7 @@ adf AS (SELECT q, count(*) AS df FROM app GROUP BY q), ap AS (SELECT frame_id, s
         extra = ""
     return f"""WITH {ES}, u AS (SELECT field, frame_id, w, len(w) AS dl FROM ({parts}) WHERE len(w) > 0), st AS (SELECT field, count(*) AS n, avg(dl) AS avg_dl FROM u GROUP BY field),
 po AS (SELECT field, frame_id, dl, term, count(*) AS tf FROM (SELECT field, frame_id, dl, unnest(w) AS term FROM u) GROUP BY ALL), q AS (SELECT unnest({words!r}) AS q),
-x AS (SELECT field, q, term, CASE WHEN q = term THEN 1.0 ELSE 1 - 1 / least(length(q), length(term)) END AS weight FROM (SELECT DISTINCT field, term FROM po), q WHERE damerau_levenshtein(q, term) <= 1),
+x AS (SELECT field, q, term, CASE WHEN q = term THEN 1.0 ELSE 1 - 1 / least(length(q), length(term)) END AS weight FROM (SELECT DISTINCT field, term FROM po), q WHERE {_WITHIN_ONE}),
 r AS (SELECT *, row_number() OVER (PARTITION BY field, q ORDER BY weight DESC, term) AS r FROM x WHERE weight > 0), e AS (SELECT * FROM r WHERE r <= 10 OR q = term),
 df AS (SELECT field, term, count(*) AS df FROM po GROUP BY field, term),
 h AS (SELECT po.field, frame_id, q, max(s) AS s, max(CASE WHEN q = term THEN s END) AS x FROM (SELECT po.field, frame_id, q, po.term, weight * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (0.25 + 0.75 * dl / avg_dl)) AS s
