@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from shotlake.llm.canon import folded_col
 from shotlake.llm.runs import alike
+from shotlake.plans.lineage import cut
 
 BANDS, ROWS, GRAM = 24, 3, 3
 
@@ -84,17 +85,21 @@ def _cases(lines: DataFrame, least: int) -> DataFrame:
     w = Window.partitionBy("src", "letters").orderBy(F.col("unit").asc_nulls_last())
     # At most ``least`` units a line: whether a union reaches ``least`` depends on no more.
     t = t.withColumn("r", F.row_number().over(w)).where(F.col("r") <= least)
-    t = t.groupBy("src", "letters").agg(F.collect_set("unit").alias("units"))
+    t = t.groupBy("src", "letters").agg(F.collect_set("unit").alias("units")).withColumn("line", F.xxhash64("src", "letters"))
+    t = cut(t)
     own = t.where(F.size("units") >= least).select("src", "letters")
     # Below nine letters nothing but the same letters is the same: the longer of a pair has ten at least.
-    near = t.where("length(letters) >= 9").select(F.xxhash64("src").alias("h"), "letters", "src", "units")
-    near = near.mapInArrow(_bands, f"h bigint, letters string, src {dict(lines.dtypes)['src']}, units array<string>, keys array<bigint>")
-    near = near.select("h", "letters", "src", "units", F.posexplode("keys").alias("band", "k")).select("h", "letters", "src", "units", F.xxhash64("band", "k", "h").alias("k"))
-    one = near.select("k", "src", "letters", "units")
-    two = near.select("k", F.col("src").alias("s2"), F.col("letters").alias("l2"), F.col("units").alias("u2"))
+    near = t.where("length(letters) >= 9").select("line", "letters", F.xxhash64("src").alias("h"), (F.size("units") < least).alias("light"))
+    near = near.mapInArrow(_bands, "line bigint, letters string, h bigint, light boolean, keys array<bigint>")
+    near = near.select("line", F.length("letters").alias("n"), "light", "h", F.posexplode("keys").alias("band", "k"))
+    # One exchange of keys serves both sides; the letters come in by line, for candidates only.
+    near = near.select(F.xxhash64("band", "k", "h").alias("k"), "line", "n", "light").repartition("k")
+    two = near.select("k", F.col("line").alias("l2"), F.col("n").alias("n2"))
     # Only lines that don't reach ``least`` alone look for partners.
-    p = one.where(F.size("units") < least).join(two, "k").where(F.col("src").eqNullSafe(F.col("s2")) & (F.col("letters") != F.col("l2")))
-    p = p.where(F.abs(F.length("letters") - F.length("l2")) <= F.floor(F.greatest(F.length("letters"), F.length("l2")) / 10)).where(alike("letters", "l2"))
+    p = near.join(two, "k").where("light and line <> l2 and abs(n - n2) <= floor(greatest(n, n2) / 10)").select("line", "l2").distinct()
+    a = t.select("line", "src", "letters", "units")
+    b = t.select(F.col("line").alias("l2"), F.col("src").alias("s2"), F.col("letters").alias("t2"), F.col("units").alias("u2"))
+    p = p.join(a, "line").join(b, "l2").where(F.col("src").eqNullSafe(F.col("s2")) & (F.col("letters") != F.col("t2"))).where(alike("letters", "t2"))
     p = p.groupBy("src", "letters").agg(F.array_union(F.first("units"), F.array_distinct(F.flatten(F.collect_set("u2")))).alias("all"))
     return own.unionByName(p.where(F.size("all") >= least).select("src", "letters"))
 
