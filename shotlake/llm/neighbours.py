@@ -3,7 +3,7 @@
 Inverted file of coarse centroids with product-quantised residuals, asymmetric distance tables, and
 exact reranking.
 
-1. Centroids and codebooks are fitted on a bounded sample (``TRAIN`` rows at most, whatever the size of
+1. Centroids and codebooks are fitted in one task on a bounded sample (``TRAIN`` rows at most, whatever the size of
    the collection). Every row is indexed.
 2. Nearness to a centroid is the cosine after the sample's mean is taken off; with the mean on, the
    lists near it would draw most of the collection. A vector goes to the list of its nearest centroid
@@ -25,6 +25,7 @@ give one pair a copy, with the class's least key, and are represented by it in p
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +45,8 @@ PROBES, SPREAD = 4, 1.0
 #: Estimates may fall short of the exact cosine by so much.
 SLACK = 0.12
 TIE = 1e-5
+#: Share of a block's pairs that need reranking from which the whole block is multiplied out.
+DENSE = 0.1
 #: A list expected to hold more rows is spread over tasks.
 HOT = 20_000
 MANY_COPIES = 1000
@@ -205,7 +208,7 @@ def _search(quant: Quantizer, dim: int, k: int, least: float):
         vec = rows["vec"].combine_chunks()
         vectors = lambda at: np.frombuffer(b"".join(unpack.decompress(v.as_py()) for v in vec.take(pa.array(at))), np.float32).reshape(len(at), dim)
         mine = np.nonzero(own)[0]
-        whole = vectors(np.arange(len(keep))) if len(keep) <= 8192 else None
+        whole = vectors(np.arange(len(keep))) if len(keep) <= 16_384 else None
         for a in range(0, len(mine), 128):
             qi = mine[a : a + 128]
             q = whole[qi] if whole is not None else vectors(qi)
@@ -224,7 +227,14 @@ def _search(quant: Quantizer, dim: int, k: int, least: float):
                 est[qi[:, None] == np.arange(b, b + len(c))] = -1
                 if len(c) >= k:  # the k-th best so far
                     kth = np.maximum(kth, -np.partition(-est, k - 1, axis=1)[:, k - 1])
-                i, j = np.nonzero(est >= np.maximum(least - SLACK, np.minimum(kth, 1) - 2 * SLACK)[:, None])
+                near = est >= np.maximum(least - SLACK, np.minimum(kth, 1) - 2 * SLACK)[:, None]
+                if near.sum() > DENSE * near.size:  # a crowd that estimates can't part: exact products for the whole block
+                    other = np.arange(b, b + len(c))
+                    est = q @ (whole[other] if whole is not None else vectors(other)).T
+                    est[qi[:, None] == other] = -1
+                    best = -np.partition(-est, k - 1, axis=1)[:, k - 1] if len(c) >= k else np.full(len(qi), -1.0)
+                    near = est >= np.maximum(least - TIE, best - 2 * TIE)[:, None]
+                i, j = np.nonzero(near)
                 if len(i):
                     got.append((i, j + b, est[i, j]))
             if not got:
@@ -274,13 +284,21 @@ def _hashed(df: DataFrame, key: str, vector: str, dim: int) -> DataFrame:
 
 
 def _fit(df: DataFrame, vector: str, dim: int, rows: int) -> Quantizer | None:
+    """Fitted in one task, from TRAIN rows at most; the driver gets the model only."""
     t = df.select(F.col(vector).alias("v")).where(F.size("v") == dim)
     if rows > TRAIN:
         t = t.sample(False, min(1.0, 1.05 * TRAIN / rows), 5)
-    col = t.limit(TRAIN).toArrow()["v"].combine_chunks()
-    x, ok = _unit(_matrix(col, dim)[1])
-    x = x[ok]
-    return Quantizer(x, int(np.clip(rows // LIST, 1, min(MOST_LISTS, max(1, len(x) // 6))))) if len(x) else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [_unit(_matrix(b.column(0), dim)[1]) for b in batches]
+        x = np.concatenate([v[ok] for v, ok in parts]) if parts else np.zeros((0, dim), np.float32)
+        del parts
+        if len(x):
+            lists = int(np.clip(rows // LIST, 1, min(MOST_LISTS, max(1, len(x) // 6))))
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Quantizer(x, lists))], pa.binary())], names=["model"])
+
+    got = t.limit(TRAIN).coalesce(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(got[0][0]) if got else None
 
 
 def near_classes(df: DataFrame, key: str, vector: str, dim: int, k: int, least: float) -> tuple[DataFrame, DataFrame]:
