@@ -238,5 +238,12 @@ def response_text(parts: Column) -> Column:
     return F.trim(F.array_join(F.transform(F.filter(parts, lambda p: ~F.coalesce(p["thought"], F.lit(False))), lambda p: F.coalesce(p["text"], F.lit(""))), ""))
 
 
+def speech_text(json: Column) -> Column:
+    """Text of a recogniser's result, given as JSON: a string, an object with ``text``, or a list of either, joined by blanks."""
+    items = F.coalesce(F.from_json(json, "array<string>"), F.array(json))
+    one = lambda x: F.coalesce(F.get_json_object(x, "$.text"), F.when(~x.rlike('^[\\[{].*'), F.regexp_replace(x, '^"|"$', "")), F.array_join(F.transform(F.from_json(x, "array<string>"), lambda y: F.coalesce(F.get_json_object(y, "$.text"), y)), " "))
+    return F.trim(F.array_join(F.filter(F.transform(items, one), lambda x: F.length(x) > 0), " "))
+
+
 def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))

@@ -40,3 +40,17 @@ def unless_blurred(lap_var: Column, texts: Column, least: float = 50) -> Column:
 def refuse_existing(df: DataFrame, path: str, overwrite: bool = False) -> None:
     """Writes a table; an existing one is an error unless it may be overwritten."""
     df.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
+
+
+def readable(df: DataFrame, status: str = "decoded") -> DataFrame:
+    """Frames or videos that the decoder could read."""
+    return df.where(F.coalesce(F.col(status), F.lit(False)))
+
+
+def has_text(df: DataFrame, text: str) -> DataFrame:
+    return df.where(F.length(text) > 0)
+
+
+def label_fits(label: Column, longest: int) -> Column:
+    """False for labels that are too long before, or empty after, the character set is applied."""
+    return (F.length(label) <= longest) & (F.length(F.trim(label)) > 0)

@@ -122,3 +122,9 @@ def sliced(df: DataFrame, order: list[str], first: int, last: int | None = None,
     if last is not None:
         t = t.where(F.col("row_no") < last)
     return t.where(F.pmod("row_no", F.lit(every)).isin(list(keep)))
+
+
+def sampled(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """n rows at random, the same for the same seed and rows."""
+    key = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
+    return df.withColumn("__k", key).orderBy("__k").limit(n).drop("__k")

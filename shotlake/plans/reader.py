@@ -14,10 +14,13 @@ TABLES = ("shot_doc", "seg_doc", "frame_doc", "es_doc", "milvus_entity")
 
 
 class Reader:
-    """Tables are read when first used; repeated rows of a frame count once."""
+    """Tables are read when first used; repeated rows of a frame count once.
 
-    def __init__(self, spark: SparkSession, folder: str, root: str = ""):
-        self.spark, self.folder, self.root = spark, folder, root
+    With ``index``, a folder that ``build_index`` wrote, searches read postings instead of texts.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, root: str = "", index: str | None = None):
+        self.spark, self.folder, self.root, self.index = spark, folder, root, index
         self.docs = table(spark, folder, "es_doc").dropDuplicates(["frame_id"])
 
     def ready(self) -> bool:
@@ -28,9 +31,18 @@ class Reader:
 
     def _text(self, fields: dict[str, tuple[str, bool]], query: str, names: list[str], accented: str | None, k: int, video_ids, frame_ids, min_score=None, docs: DataFrame | None = None) -> DataFrame:
         docs = self.docs if docs is None else docs
-        index = search.TextIndex(docs, "frame_id", fields)
+        index = search.TextIndex.read(docs, "frame_id", self.index) if self.index else search.TextIndex(docs, "frame_id", fields)
         return search.hits(index.search(query, names, accented), docs, "frame_id", k, video_ids, frame_ids, min_score)
 
+    def build_index(self, path: str) -> None:
+        """The postings of all searches' fields as tables."""
+        docs = self._with_all()
+        fields = {"ocr_text": ("ocr_text", True), "ocr_api": ("ocr_api", True), "exact": ("ocr_text", False), "transcript": ("transcript", True), "content_all": ("content_all", True)}
+        search.TextIndex(docs, "frame_id", fields).write(path)
+
+    def _with_all(self) -> DataFrame:
+        return self.docs.withColumn("content_all", F.concat_ws(" ", "ocr_text", "ocr_api", "caption", "transcript"))
+
     def search_vector(self, vector: Sequence[float], top_k: int = 100, video_ids: list[str] | None = None, min_score: float | None = None) -> DataFrame:
         e = table(self.spark, self.folder, "milvus_entity").dropDuplicates(["frame_id"])
         return search.hits(search.vector_scores(e, "frame_id", "embedding", vector), e, "frame_id", top_k, video_ids, None, min_score)
@@ -42,8 +54,7 @@ class Reader:
         return self._text({"transcript": ("transcript", True)}, query, ["transcript"], None, top_k, video_ids, frame_ids, min_score)
 
     def search_all(self, query: str, top_k: int = 100, video_ids: list[str] | None = None, frame_ids: list[str] | None = None) -> DataFrame:
-        docs = self.docs.withColumn("content_all", F.concat_ws(" ", "ocr_text", "ocr_api", "caption", "transcript"))
-        return self._text({"content_all": ("content_all", True)}, query, ["content_all"], None, top_k, video_ids, frame_ids, docs=docs)
+        return self._text({"content_all": ("content_all", True)}, query, ["content_all"], None, top_k, video_ids, frame_ids, docs=self._with_all())
 
     def search_object(self, labels: list[str], top_k: int = 100, video_ids: list[str] | None = None, frame_ids: list[str] | None = None, min_score: float | None = None) -> DataFrame:
         frames = table(self.spark, self.folder, "frame_doc").dropDuplicates(["_id"]).withColumnRenamed("_id", "frame_id")

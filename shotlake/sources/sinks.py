@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -42,3 +42,15 @@ def samples(frames: DataFrame, path: str, n: int = 20) -> None:
     """The first n frames by id with their texts, as markdown lines."""
     t = frames.orderBy("frame_id").limit(n)
     t.select(F.format_string("## %s\n\n%s\n", F.col("frame_id"), F.coalesce("text", F.lit("")))).write.mode("overwrite").text(path)
+
+
+def create_stores(spark: SparkSession, schemas: dict[str, str], database: str) -> None:
+    """Tables that don't exist are made; others stay."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name, schema in schemas.items():
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({schema}) USING parquet")
+
+
+def drop_stores(spark: SparkSession, names: list[str], database: str) -> None:
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
