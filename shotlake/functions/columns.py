@@ -86,13 +86,15 @@ def _sub_matches(c: Column, pattern: str, fix) -> Column:
 def fix_numbers(c: Column) -> Column:
     """Letters read in place of digits in times, years, percentages and digit groups."""
     digits = lambda x: F.translate(x, "Oob", "006")
+    # Most texts hold nothing of the kind; a plain pattern tells before the exact ones run.
+    given, some = c, c.rlike("[0-9Oob][:.hH][0-9Oob]|19[89Oob]|20[0-3Oob]|[0-9][Oob]")
     time = r"(?U)\b([0-2]?[0-9Oob])[:.hH]([0-5]?[0-9Oob])\b"
     c = _sub_matches(c, time, lambda x: digits(F.regexp_replace(x, "^(.+?)[:.hH](.+)$", "$1:$2")))
     c = _sub_matches(c, r"(?U)\b(19[89Oob][0-9Oob]|20[0-3Oob][0-9Oob])\b", digits)
     c = F.regexp_replace(c, r"(?U)\b(?<d>\d+)[Oob]%\b", "${d}0%")
     for _ in range(2):
         c = F.regexp_replace(c, r"(?U)(\d)[Oo](\d)", "$1" + "0" + "$2")
-    return c
+    return F.when(some, c).otherwise(given)
 
 
 def _fix_word(t: Column) -> Column:
@@ -100,6 +102,7 @@ def _fix_word(t: Column) -> Column:
     w = F.when(t.rlike(f"^{_LETTER}+0{_LETTER}+$"), F.replace(t, F.lit("0"), F.lit("O"))).when(t.rlike(f"^0{_LETTER}{{2,}}$"), F.regexp_replace(t, "^0", "O")).when(t.rlike(f"^{_LETTER}{{2,}}0$"), F.regexp_replace(t, "0$", "O")).otherwise(t)
     w = F.when(w.rlike(f"^{_LETTER}+1{_LETTER}+$"), F.replace(w, F.lit("1"), F.lit("I"))).otherwise(w)
     w = F.regexp_replace(F.regexp_replace(w, f"^cl(?={_VOWEL})", "đ"), f"^Cl(?={_VOWEL})", "Đ")
+    w = F.when(t.rlike("[01]|^[cC]l"), w).otherwise(t)
     terms = F.create_map(*[F.lit(x) for kv in TERMS.items() for x in kv])
     return F.when(code, t).otherwise(F.coalesce(F.try_element_at(terms, F.lower(w)), w))
 

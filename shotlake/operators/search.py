@@ -52,13 +52,15 @@ class TextIndex:
     def __init__(self, docs: DataFrame, key: str, fields: dict[str, tuple[str, bool]]):
         """fields: name -> (column, accents folded?)."""
         self.docs, self.key = docs, key
-        parts = [docs.select(F.lit(f).alias("field"), F.col(key).alias("doc"), words_of(F.col(c), fold).alias("terms")).where(F.size("terms") > 0) for f, (c, fold) in fields.items()]
+        # The length comes from the exploded terms: a filter on it would be pushed down and tokenise again.
+        parts = [docs.select(F.lit(f).alias("field"), F.col(key).alias("doc"), F.explode(words_of(F.col(c), fold)).alias("term")) for f, (c, fold) in fields.items()]
         t = parts[0]
         for p in parts[1:]:
             t = t.unionByName(p)
-        t = t.withColumn("dl", F.size("terms"))
-        self.stats = t.groupBy("field").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avg_dl"))
-        self.postings = t.select("field", "doc", "dl", F.explode("terms").alias("term")).groupBy("field", "term", "doc", "dl").agg(F.count("*").alias("tf"))
+        per_doc = t.groupBy("field", "doc", "term").agg(F.count("*").alias("tf")).repartition("field", "doc")
+        self.postings = per_doc.withColumn("dl", F.sum("tf").over(Window.partitionBy("field", "doc")))
+        dl = t.groupBy("field", "doc").agg(F.count("*").alias("dl"))
+        self.stats = dl.groupBy("field").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avg_dl"))
 
     def terms(self) -> DataFrame:
         return self.postings.select("field", "term").distinct()
