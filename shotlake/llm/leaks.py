@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shotlake.llm.canon import STABLE, canonical
 
@@ -236,12 +237,12 @@ def leaks(docs: DataFrame, doc_key: str, doc_text: str, items: DataFrame, item_k
         mine = named.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == block) if n_blocks > 1 else named
         rows = mine.distinct().collect()
         index = ItemIndex([r[0] for r in rows], [r[1] for r in rows], n_words, edits)
-        hits = texts.mapInArrow(_search(index), f"doc_id {d_type}, item_id {i_type}, distance int")
+        hits = texts.mapInArrow(_search(index, to_arrow_type(items.schema[item_key].dataType)), f"doc_id {d_type}, item_id {i_type}, distance int")
         found = hits if found is None else found.unionByName(hits)
     return found.groupBy("doc_id", "item_id").agg(F.min("distance").alias("distance"))
 
 
-def _search(index: ItemIndex):
+def _search(index: ItemIndex, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, texts = b.column(0), b.column(1).to_pylist()
@@ -252,7 +253,7 @@ def _search(index: ItemIndex):
                 end = max(start + 1, int(np.searchsorted(size, done + CHUNK)))
                 doc, item, d = index.search(*words(texts[start:end]))
                 if len(doc):
-                    ids = pa.array([index.ids[i] for i in item.tolist()])
+                    ids = pa.array([index.ids[i] for i in item.tolist()], id_type)
                     yield pa.RecordBatch.from_arrays([keys.take(pa.array(doc + start)), ids, pa.array(d.astype(np.int32))], names=["doc_id", "item_id", "distance"])
                 start = end
 

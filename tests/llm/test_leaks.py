@@ -59,6 +59,12 @@ def test_blocks_of_items(spark, monkeypatch):
     assert {tuple(r) for r in leaks.leaks(d, "k", "t", i, "k", "t", edits=0).collect()} == {(1, 0, 0), (1, 1, 0)}
 
 
+def test_other_types_of_keys(spark):
+    d = spark.createDataFrame([("x", "một hai ba")], "k string, t string")
+    i = spark.createDataFrame([(7, "hai ba")], "k int, t string")
+    assert [tuple(r) for r in leaks.leaks(d, "k", "t", i, "k", "t").collect()] == [("x", 7, 0)]
+
+
 def test_recall_of_one_edit():
     rng = np.random.default_rng(1)
     win = rng.integers(0, 1 << 63, (2000, 10), dtype=np.uint64)
