@@ -11,7 +11,6 @@ def scenes(predictions: DataFrame, group: str, pos: str, p: str, threshold: floa
 
     A last run without one ends at the last frame; a group of boundaries alone is one scene.
     """
-    w = Window.partitionBy(group).orderBy(pos)
     t = predictions.select(F.col(group).alias("g"), F.col(pos).alias("i"), (F.col(p) > threshold).cast("int").alias("cut"))
     w = Window.partitionBy("g").orderBy("i")
     t = t.withColumn("island", F.sum(F.when((F.lag("cut", 1, 1).over(w) == 1) & (F.col("cut") == 0), 1).otherwise(0)).over(w)).withColumn("next", F.lead("i").over(w))
