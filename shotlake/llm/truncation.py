@@ -5,7 +5,8 @@ Two sources of evidence are combined for every text that doesn't end in a full s
 Length. Per source, the lengths (code points, and bytes) are fitted by maximum likelihood with a
 log-normal distribution that is right-censored at candidate limits: values without a final stop that
 stand at a candidate limit count as "this long or longer". A length is a candidate limit where open
-texts pile up far beyond their neighbours and the fit. The censoring posterior of a value there is the
+texts pile up far beyond their neighbours and the fit; below a limit that is kept by cutting at a blank
+they outnumber the closed ones of like length. The censoring posterior of a value there is the
 share of the pile that the fitted density doesn't explain. Elsewhere texts may have been cut in
 transfer: the share of such texts among the open ones is estimated per source by expectation
 maximisation over the ending evidence, apart for texts with and without a mark of the cut.
@@ -168,6 +169,24 @@ def find_limits(length: np.ndarray, every: np.ndarray, open_: np.ndarray) -> lis
     return out
 
 
+def find_piles(length: np.ndarray, closed: np.ndarray, open_: np.ndarray) -> list[tuple[int, float]]:
+    """(length, posterior) where open texts outnumber the closed ones of like length by more than is usual for the source.
+
+    A cut at the last blank before a limit leaves lengths spread below it. Open texts at limits don't count here.
+    """
+    n, shut = np.zeros(int(length.max()) + 5), np.zeros(int(length.max()) + 5)
+    n[length], shut[length] = open_, closed
+    o, c = (np.convolve(x, np.ones(7), "same")[length] for x in (n, shut))
+    if not c.sum():
+        return []
+    ratio = o / np.maximum(c, 1)
+    order = np.argsort(ratio, kind="stable")
+    total = np.cumsum(c[order])
+    expected = float(ratio[order][np.searchsorted(total, total[-1] / 2)]) * c
+    found = (o - expected > 4 * np.sqrt(expected + 1) + 4) & (open_ > 0)
+    return [(int(v), float(p)) for v, p, f in zip(length, np.minimum(1 - expected / np.maximum(o, 1), 0.95), found) if f and p > 0.5]
+
+
 def _limits(pdf: pd.DataFrame) -> pd.DataFrame:
     rows = []
     for measure, t in pdf.groupby("measure"):
@@ -175,6 +194,12 @@ def _limits(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["src", "measure", "len", "post"])
 
 
+def _piles(pdf: pd.DataFrame) -> pd.DataFrame:
+    t = pdf.sort_values("chars")
+    found = find_piles(t["chars"].to_numpy(), t["closed"].to_numpy(float), t["open"].to_numpy(float))
+    return pd.DataFrame([(pdf["src"].iloc[0], *x) for x in found], columns=["src", "chars", "pile"])
+
+
 def _rates(pdf: pd.DataFrame) -> pd.DataFrame:
     """Share of cut texts among a source's open texts of one kind of mark, by EM over the binned ending evidence."""
     rows = []
@@ -224,6 +249,10 @@ def _posteriors(t: DataFrame) -> DataFrame:
     limits = cut(limits)
     at = lambda m: limits.where(F.col("measure") == m).select("src", F.col("len").alias(m), F.col("post").alias(f"{m}_post"))
     scored = scored.join(at("chars"), ["src", "chars"], "left").join(at("bytes"), ["src", "bytes"], "left").withColumn("prior", F.greatest("chars_post", "bytes_post"))
+    rest = scored.where("prior is null").groupBy("src", "chars").agg(F.count("*").alias("open"))
+    shut = hist.where("measure = 'chars'").select("src", F.col("len").alias("chars"), (F.col("n") - F.col("n_open")).alias("closed"))
+    piles = shut.join(rest, ["src", "chars"], "left").fillna(0, ["open"]).groupBy("src").applyInPandas(_piles, "src string, chars int, pile double")
+    scored = scored.join(piles, ["src", "chars"], "left").withColumn("prior", F.coalesce("prior", "pile"))
     bins = scored.where("prior is null").groupBy("src", "mark", F.round(F.col("score") * 4).cast("int").alias("bin")).agg(F.count("*").alias("n"))
     rates = bins.groupBy("src").applyInPandas(_rates, "src string, mark int, rate double")
     scored = scored.join(rates, ["src", "mark"], "left")
