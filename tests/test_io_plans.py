@@ -121,6 +121,45 @@ def test_images():
     assert images.shrink(g, 16).shape == (16, 16) and images.lower_band(g).shape == (16, 64)
 
 
+def test_text_bands(spark):
+    flat = np.full((100, 90), 100, np.uint8)
+    top, both = flat.copy(), flat.copy()
+    top[:12] = np.tile(np.repeat(np.array([0, 255, 30], np.uint8), 2), 15)
+    both[:12], both[72:] = top[0], top[0][::-1]
+    assert images.crop_news_bands(flat).shape == (100, 90) and images.crop_news_bands(top).tolist() == top[:12].tolist()
+    assert images.crop_news_bands(both).shape == (40, 90) and images.crop_news_bands(np.dstack([both] * 3)).shape == (40, 90, 3)
+    assert images.band_signature(flat) is None and images.band_signature(top) == images.difference_hash(top[:12])
+    # A picture that changes above a still band leaves the signature as it is; another text changes it.
+    moved, other = top.copy(), top.copy()
+    moved[40:60, 10:50] = 101
+    other[:12, 20:60] = np.tile(np.repeat(np.array([250, 0], np.uint8), 5), 4)
+    assert images.band_signature(moved) == images.band_signature(top) != images.band_signature(other)
+    assert images.crop_news_bands(np.zeros((1, 1), np.uint8)).shape == (1, 1)
+    df = spark.createDataFrame([(str(k), 100, 90, bytearray(x.tobytes())) for k, x in enumerate((flat, top))], "key string, height int, width int, grey binary")
+    assert {r.key: r.sign for r in images.frame_figures(df).collect()} == {"0": None, "1": images.difference_hash(top[:12])}
+
+
+def test_sobel_and_area():
+    g = np.array([[1, 2, 4], [0, 9, 3], [5, 5, 7]], np.uint8)
+    # Inner column by hand; at the mirrored edges the change is 0.
+    assert np.allclose(images.row_energy(g), [(3 * 2 + 2 * 3) / 3, (3 + 2 * 3 + 2) / 3, (2 * 2 + 2 * 3) / 3])
+    wide = np.zeros((8, 12), np.uint8)
+    wide[:, 1] = 90  # a cell is 4/3 wide: a third of column 1 is in the first cell and two thirds in the second
+    assert bin(images.difference_hash(wide) & (2**64 - 1))[2:] == "10000000" * 8
+
+
+def test_clahe():
+    rng = np.random.default_rng(1)
+    dark = rng.integers(0, 30, (64, 64)).astype(np.uint8)
+    dark[:, 32:] += 200
+    got = images.clahe(dark, clip=40)
+    # Tiles are stretched each by itself: both halves spread, which one stretch of the whole can't do.
+    assert np.ptp(got[:, :24]) > 200 and np.ptp(got[:, 40:]) > 200
+    assert images.clahe(dark[:61, :50]).shape == (61, 50) and np.ptp(images.clahe(dark)[:, :24].astype(int)) < np.ptp(got[:, :24].astype(int))
+    colour = np.dstack([dark, dark, dark])
+    assert (images.apply_clahe(colour) == images.clahe(dark)[:, :, None]).all() and images.preprocess(colour).shape[1:] == (64, 3)
+
+
 def test_hydrate_keeps_the_order(spark):
     f = spark.createDataFrame([("a", "x.jpg"), ("b", "/y.jpg")], "frame_id string, image_path string")
     assert [(r.frame_id, r.image_path) for r in joins.hydrate(f, ["b", "?", "a", "b"], "/r").collect()] == [("b", "/y.jpg"), ("a", "/r/x.jpg"), ("b", "/y.jpg")]
