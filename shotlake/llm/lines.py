@@ -5,11 +5,14 @@ dates, signs and blanks among them) are masked out. Two lines of one source (a v
 the edit distance of their letters is at most a tenth of the longer, rounded down. A line is repeated
 if documents (frames) of at least ``least`` different units (shots) of its source hold the same line.
 
-Different letters of a source are clustered by locality-sensitive hashing: MinHash over grams of three
-letters, ``BANDS`` bands of ``ROWS``; lines that meet in a band are compared exactly. How often a line
-stands matters only up to ``least``, so a line carries at most that many units, chosen before the
-shuffle, and a line that alone reaches it needs no partner. The bands of a line are spread by hash:
-a hot source is split over its bands and keys.
+Different letters of a source meet by MinHash: a line's keys are the least hashes of its grams of ``GRAM``
+letters, so many that no pair is missed. An edit changes GRAM grams at most, so of two lines within k edits
+each has at most GRAM * k grams that the other hasn't, and the least gram of both is among the first
+GRAM * k + 1 of each (a gram's second occurrence counts as another gram; within k, a tenth of the longer,
+common grams remain). Lines that meet in a key, and whose sets of letter pairs k edits can turn into
+each other, are compared exactly. How often a line stands matters only up to ``least``, so a line carries at
+most that many units, chosen before the shuffle, and a line that alone reaches it needs no partner. The keys
+of a line are spread by hash: a hot source is split over its keys.
 
 Null and empty texts have no lines. A line without a letter is no case. Blank and null units don't
 count, but their lines may be cases. Documents without a source form one. A document delivered twice
@@ -29,46 +32,66 @@ from shotlake.llm.canon import folded_col
 from shotlake.llm.runs import alike
 from shotlake.plans.lineage import cut
 
-BANDS, ROWS, GRAM = 24, 3, 3
+GRAM = 4
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
-    """(lines, BANDS) keys; every line has GRAM letters or more."""
-    cp = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    size = np.array([len(x) for x in lines])
-    mix = np.uint64(0xD6E8FEB86659FD93)
+def _hashed(cp: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n letters from each place on."""
     h = np.zeros(len(cp), np.uint64)
-    for k in range(GRAM):
+    for k in range(n):
         h[: len(cp) - k] = h[: len(cp) - k] * np.uint64(0x9E3779B97F4A7C15) + cp[k:] + np.uint64(1)
-    h *= mix
+    return _mixed(h)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = h * np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)
-    ends = np.cumsum(size)
-    inside = np.ones(len(cp), bool)
-    for k in range(1, GRAM):
-        inside[ends - k] = False
-    h = h[inside]
-    first = np.r_[0, np.cumsum(size - GRAM + 1)[:-1]]
-    seeds = np.random.default_rng(55).integers(1, 1 << 62, (BANDS, ROWS, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    keys = np.zeros((len(lines), BANDS), np.uint64)
-    for b in range(BANDS):
-        for r in range(ROWS):
-            x = h * seeds[b, r, 0]
-            x ^= x >> np.uint64(29)
-            x *= seeds[b, r, 1]
-            least = np.minimum.reduceat(x ^ (x >> np.uint64(32)), first)
-            keys[:, b] = (keys[:, b] ^ least) * mix
-            keys[:, b] ^= keys[:, b] >> np.uint64(31)
-    return keys.view(np.int64)
-
-
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(29))
+
+
+def _inside(size: np.ndarray, n: int) -> np.ndarray:
+    """Places of the joined lines at which n letters of one line begin."""
+    ok = np.ones(size.sum(), bool)
+    for k in range(1, n):
+        ok[np.cumsum(size) - k] = False
+    return ok
+
+
+def _rank(line: np.ndarray) -> np.ndarray:
+    """Place of each row in its run of equal ``line``."""
+    starts = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
+    return np.arange(len(line)) - np.repeat(starts, np.diff(np.r_[starts, len(line)]))
+
+
+def line_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of all lines, how many each has, and the set of each line's letter pairs in 64 bits; every line has GRAM letters or more."""
+    cp = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    size = np.array([len(x) for x in lines])
+    no = np.repeat(np.arange(len(lines)), size)
+    pairs = _inside(size, 2)
+    bits = np.uint64(1) << (_hashed(cp, 2)[pairs] >> np.uint64(58))
+    bag = np.bitwise_or.reduceat(bits, np.r_[0, np.cumsum(size - 1)[:-1]])
+    grams = _inside(size, GRAM)
+    h, no = _hashed(cp, GRAM)[grams], no[grams]
+    order = np.lexsort((h, no))
+    h, no = h[order], no[order]
+    again = _rank(np.cumsum(np.r_[True, (h[1:] != h[:-1]) | (no[1:] != no[:-1])]))
+    h = _mixed(h + again.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.lexsort((h, no))
+    h, no = h[order], no[order]
+    # The longer of two lines within a tenth of it is at most a ninth longer than this one.
+    h, no = (x[_rank(no) <= GRAM * (size[no] // 9)] for x in (h, no))
+    return h.view(np.int64), np.bincount(no, minlength=len(lines)), bag.view(np.int64)
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for at in range(0, b.num_rows, 5000):
             part = b.slice(at, 5000)
-            keys = band_keys(part.column(1).to_pylist()).ravel()
-            n = part.num_rows
-            offsets = pa.array(np.arange(n + 1, dtype=np.int32) * BANDS)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(offsets, pa.array(keys))], names=[*part.schema.names, "keys"])
+            keys, n, bag = line_keys(part.column(1).to_pylist())
+            offsets = pa.array(np.r_[0, np.cumsum(n)].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bag), pa.ListArray.from_arrays(offsets, pa.array(keys))], names=[*part.schema.names, "bag", "keys"])
 
 
 def _lines(df: DataFrame, key: str, source: str, unit: str, text: str) -> DataFrame:
@@ -90,13 +113,14 @@ def _cases(lines: DataFrame, least: int) -> DataFrame:
     own = t.where(F.size("units") >= least).select("src", "letters")
     # Below nine letters nothing but the same letters is the same: the longer of a pair has ten at least.
     near = t.where("length(letters) >= 9").select("line", "letters", F.xxhash64("src").alias("h"), (F.size("units") < least).alias("light"))
-    near = near.mapInArrow(_bands, "line bigint, letters string, h bigint, light boolean, keys array<bigint>")
-    near = near.select("line", F.length("letters").alias("n"), "light", "h", F.posexplode("keys").alias("band", "k"))
+    near = near.mapInArrow(_keys, "line bigint, letters string, h bigint, light boolean, bag bigint, keys array<bigint>")
+    near = near.select("line", F.length("letters").alias("n"), "light", "bag", "h", F.explode("keys").alias("k"))
     # One exchange of keys serves both sides; the letters come in by line, for candidates only.
-    near = near.select(F.xxhash64("band", "k", "h").alias("k"), "line", "n", "light").repartition("k")
-    two = near.select("k", F.col("line").alias("l2"), F.col("n").alias("n2"))
-    # Only lines that don't reach ``least`` alone look for partners.
-    p = near.join(two, "k").where("light and line <> l2 and abs(n - n2) <= floor(greatest(n, n2) / 10)").select("line", "l2").distinct()
+    near = near.select(F.xxhash64("k", "h").alias("k"), "line", "n", "light", "bag").repartition("k")
+    two = near.select("k", F.col("line").alias("l2"), F.col("n").alias("n2"), F.col("bag").alias("b2"))
+    # Only lines that don't reach ``least`` alone look for partners. An edit changes four of the letter pairs at most.
+    most = "floor(greatest(n, n2) / 10)"
+    p = near.join(two, "k").where(f"light and line <> l2 and abs(n - n2) <= {most} and bit_count(bag ^ b2) <= 4 * {most}").select("line", "l2").distinct()
     a = t.select("line", "src", "letters", "units")
     b = t.select(F.col("line").alias("l2"), F.col("src").alias("s2"), F.col("letters").alias("t2"), F.col("units").alias("u2"))
     p = p.join(a, "line").join(b, "l2").where(F.col("src").eqNullSafe(F.col("s2")) & (F.col("letters") != F.col("t2"))).where(alike("letters", "t2"))

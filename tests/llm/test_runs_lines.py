@@ -89,6 +89,27 @@ def test_lines_against_brute_force(spark):
         assert clean[k] == (None if t is None else "\n".join(x for n, x in enumerate(t.split("\n"), 1) if n not in gone) if t else "", len(gone))
 
 
+def test_no_line_at_the_allowed_distance_is_missed(spark):
+    rnd = random.Random(8)
+    rows = []
+    for i in range(600):
+        # A line that eight shots hold, and one of a ninth shot with as many letters replaced, left out and put in, spread, as are allowed.
+        n = rnd.choice((10, 11, 19, 20, 29, 30, 45, 70)) if i >= 300 else 10
+        heavy = [rnd.choice("abcdefghijklmnoprstuvy") for _ in range(n)]
+        light = list(heavy)
+        k = n // 10
+        for j in range(k):
+            at = int((j + 0.5) * n / k) - j
+            light[at : at + 1] = rnd.choice((["w"], ["w"], [light[at], "w"], [])) if k > 1 else ["w"]
+        light = "".join(light)
+        rows += [(f"h{i}_{u}", f"v{i}", f"s{u}", "".join(heavy)) for u in range(8)]
+        if same("".join(heavy), light):
+            rows.append((f"l{i}", f"v{i}", "s9", light))
+    df = spark.createDataFrame(rows, "k string, v string, u string, t string")
+    got = {r.id for r in lines.repeated_lines(df, "k", "v", "u", "t").collect()}
+    assert got == {r[0] for r in rows} and sum(r[0][0] == "l" for r in rows) > 500
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "k string, v string, u string, t string")
     assert lines.repeated_lines(df, "k", "v", "u", "t").count() == 0 and lines.without_repeated(df, "k", "v", "u", "t").count() == 0
