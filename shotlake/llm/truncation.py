@@ -13,8 +13,9 @@ maximisation over the ending evidence, apart for texts with and without a mark o
 
 Ending. A logistic model says how much likelier an ending is inside a text than at its end. It is
 fitted on a bounded sample (``TRAIN`` texts that end in a full stop): the whole text without its stop is
-an end, the same text cut at a random place is not. Its features are the last words, the frame of
-frequent words of the last sentence, and their combinations; it knows no list of words.
+an end, the same text cut at a random place is not. Its features are the last words, how common the last one
+is, the frame of frequent words of the last sentence, and their combinations; it knows no list of words.
+How many texts hold a word is counted over all closed texts; the last words of the scored ones are joined with it.
 
 A text is truncated if prior and ending evidence together make a cut likelier than not. Null and blank
 texts are no case and count in no share. A text delivered twice counts once (of different copies the
@@ -38,6 +39,8 @@ from shotlake.plans.lineage import cut
 
 #: Texts that the ending model is fitted on, at most; the corpus statistics use all rows.
 TRAIN = 8000
+#: Frequent words that make the frame of a sentence.
+FRAME = 80
 BITS = 18
 _CLOSED = "[.!?。]['\"”’)\\]]*\\s*$"
 _MARK = re.compile("(?:\\.\\.+|[…,;:\\-–—(\\[“‘\"'�\\s])+$")
@@ -57,30 +60,56 @@ def _sentence(text: str) -> list[str]:
     return ["0" if t.isdigit() else t for t in _TOKEN.findall(last.casefold())]
 
 
+def _body(text: str) -> str:
+    """A closed text without its stop."""
+    return re.sub(r"[.!?。]+['\"”’)\]]*\s*$", "", text)
+
+
+def last_word(text: str) -> str:
+    return (["^", *_sentence(text)])[-1]
+
+
+def word_counts(closed: DataFrame) -> DataFrame:
+    """word, n: how many of all texts closed(canon) hold a word; the empty word counts the texts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for t in batches:
+            c = Counter({"": len(t)})
+            for b in map(_body, t["canon"]):
+                c.update(set(_sentence(b)) | set(_TOKEN.findall(b.casefold())))
+            yield pd.DataFrame({"word": list(c), "n": list(c.values())})
+
+    return closed.select("canon").mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+#: How common a word is: 0 to 3, from 3, 15 and 63 texts on.
+_LEVEL = "CASE WHEN n < 3 THEN 0 WHEN n < 15 THEN 1 WHEN n < 63 THEN 2 ELSE 3 END"
+
+
+def examples(whole: list[str], rng: np.random.Generator) -> list[tuple[str, float]]:
+    """Texts with 0 for an end and 1 for a cut, of texts that end in a full stop."""
+    out = []
+    for b in filter(None, map(_body, whole)):
+        out.append((b, 0.0))
+        for word in (False, True):
+            n = int(rng.integers(len(b) // 4, len(b))) if len(b) > 4 else 0
+            if word:
+                n = b.rfind(" ", 0, n)
+            if n > 0 and b[n] not in ".!?" and split_mark(b[:n])[0][-1:] not in (".", ""):
+                out.append((split_mark(b[:n])[0], 1.0))
+    return out
+
+
 class Endings:
     """The ending model: ``score`` is the log-odds of a place inside a text against its end."""
 
-    def __init__(self, whole: list[str], seed: int = 3):
-        rng = np.random.default_rng(seed)
-        bodies = [b for b in (re.sub(r"[.!?。]+['\"”’)\]]*\s*$", "", t) for t in whole) if b]
-        self.count = Counter(w for b in bodies for w in set(_sentence(b)) | set(_TOKEN.findall(b.casefold())))
-        self.frame = {w for w, _ in self.count.most_common(80)}
-        x, y = [], []
-        for b in bodies:
-            x.append(self._features(b))
-            y.append(0.0)
-            for word in (False, True):
-                n = int(rng.integers(len(b) // 4, len(b))) if len(b) > 4 else 0
-                if word:
-                    n = b.rfind(" ", 0, n)
-                if n > 0 and b[n] not in ".!?" and split_mark(b[:n])[0][-1:] not in (".", ""):
-                    x.append(self._features(split_mark(b[:n])[0]))
-                    y.append(1.0)
+    def __init__(self, made: list[tuple[str, float]], frame: set[str], level: dict[str, int], rng: np.random.Generator):
+        self.frame = frame
         self.w = np.zeros(1 << BITS, np.float32)
-        if y:
-            self._fit(x, np.array(y, np.float32), rng)
+        if made:
+            self._fit([self._features(x, level.get(last_word(x), 0)) for x, _ in made], np.array([y for _, y in made], np.float32), rng)
 
-    def _features(self, text: str) -> np.ndarray:
+    def _features(self, text: str, rare: int) -> np.ndarray:
         s = _sentence(text)
         w1, w2, w3 = ([*s[::-1], "^", "^", "^"])[:3]
         a, b = ([*s, "$", "$"])[:2]
@@ -89,7 +118,6 @@ class Endings:
         back = s[::-1]
         num = back.index("0") if "0" in back else 9
         com = back.index(",") if "," in back else 9
-        rare = min(3, int(np.log2(1 + self.count.get(w1, 0)) / 2))
         f = ["b", f"1{w1}", f"2{w2} {w1}", f"3{w3} {w2} {w1}", f"a{a}|{w1}", f"ab{a} {b}|{w1}", f"k{k1}|{w1}", f"kk{k2} {k1}|{w1}", f"n{min(num, 6)}|{a}", f"c{min(com, 9)}|{a}"]
         f += [f"nc{min(num, 6)}|{min(com, 9)}|{a} {b}", f"r{rare}", f"l{min(len(s), 40)}", f"K{k2} {k1}", f"a2{a}|{w2} {w1}", f"N{min(num, 6)}|{w2} {w1}"]
         f += [f"s{x}|{w1}" for x in set(sk)] + [f"z{x}|{min(num, 4)}" for x in set(sk)]
@@ -114,8 +142,8 @@ class Endings:
                 g2[where] += g * g
                 self.w[where] -= 0.3 * g / np.sqrt(g2[where])
 
-    def score(self, text: str) -> float:
-        return float(np.clip(self.w[self._features(text)].sum(), -12, 12))
+    def score(self, text: str, rare: int) -> float:
+        return float(np.clip(self.w[self._features(text, rare)].sum(), -12, 12))
 
 
 def _phi(z: np.ndarray) -> np.ndarray:
@@ -213,11 +241,16 @@ def _rates(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["src", "mark", "rate"])
 
 
+def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for t in batches:
+        parts = [split_mark(x) for x in t.pop("canon")]
+        yield t.assign(mark=[m for _, m in parts], body=[x for x, _ in parts], word=[last_word(x) for x, _ in parts])
+
+
 def _scored(model: Endings):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batches:
-            parts = [split_mark(x) for x in t["canon"]]
-            yield pd.DataFrame({"id": t["id"], "src": t["src"], "chars": t["chars"], "bytes": t["bytes"], "mark": [m for _, m in parts], "score": [model.score(x) for x, _ in parts]})
+            yield t[["id", "src", "chars", "bytes", "mark"]].assign(score=[model.score(x, r) for x, r in zip(t["body"], t["rare"])])
 
     return run
 
@@ -236,12 +269,20 @@ def _posteriors(t: DataFrame) -> DataFrame:
     whole = F.regexp_replace("text", "�+$", "")
     t = t.withColumn("chars", F.length("text")).withColumn("bytes", F.octet_length(whole) + F.when(F.length(whole) < F.length("text"), 1).otherwise(0))
     closed = t.where(~F.col("open")).select("canon")
-    n = closed.count()
+    counts = cut(word_counts(closed))
+    n = next((r["n"] for r in counts.where("word = ''").collect()), 0)
     if n > TRAIN:
         closed = closed.sample(False, min(1.0, 1.1 * TRAIN / n), 9).limit(TRAIN)
-    model = Endings([r[0] for r in closed.collect()])
+    rng = np.random.default_rng(3)
+    made = examples([r[0] for r in closed.collect()], rng)
+    frame = {r["word"] for r in counts.where("word <> ''").orderBy(F.desc("n"), "word").limit(FRAME).collect()}
+    common = counts.where("n >= 3 and word <> ''").select("word", F.expr(_LEVEL).alias("rare"))
+    needed = t.sparkSession.createDataFrame([(w,) for w in {last_word(x) for x, _ in made}], "word string")
+    model = Endings(made, frame, {r["word"]: r["rare"] for r in common.join(F.broadcast(needed), "word").collect()}, rng)
     kind = dict(t.dtypes)["id"]
-    scored = t.where("open").select("id", "src", "chars", "bytes", "canon").mapInPandas(_scored(model), f"id {kind}, src string, chars int, bytes int, mark int, score double")
+    scored = t.where("open").select("id", "src", "chars", "bytes", "canon").mapInPandas(_split, f"id {kind}, src string, chars int, bytes int, mark int, body string, word string")
+    scored = scored.join(common, "word", "left").fillna(0, ["rare"])
+    scored = scored.mapInPandas(_scored(model), f"id {kind}, src string, chars int, bytes int, mark int, score double")
     scored = cut(scored)
     hist = t.select("src", "open", F.explode(F.map_from_arrays(F.array(F.lit("chars"), F.lit("bytes")), F.array("chars", "bytes"))).alias("measure", "len"))
     hist = hist.groupBy("src", "measure", "len").agg(F.count("*").alias("n"), F.count_if("open").alias("n_open"))

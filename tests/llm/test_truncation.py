@@ -56,3 +56,29 @@ def test_censored_fit():
     censored = np.where(length == 160, full[length >= 160].sum(), 0)
     mu, sd = truncation.fit_censored(length, exact, censored)
     assert mu == pytest.approx(5, abs=0.03) and sd == pytest.approx(0.4, abs=0.03)
+
+
+def test_words_are_counted_in_all_closed_texts(spark, monkeypatch):
+    # Far more texts than the sample; every name ends 20 of them, so that the sample holds it twice at most.
+    monkeypatch.setattr(truncation, "TRAIN", 60)
+    monkeypatch.setattr(truncation, "FRAME", 2)
+    seen = {}
+
+    class Spy(truncation.Endings):
+        def __init__(self, made, frame, level, rng):
+            seen.update(made=made, frame=frame, level=level)
+            super().__init__(made, frame, level, rng)
+
+    monkeypatch.setattr(truncation, "Endings", Spy)
+    rnd = random.Random(4)
+    name = lambda i: "".join(chr(97 + int(c)) for c in f"{i % 50:02d}") + "ville"
+    rows = [(f"c{i:04d}", "a", f"{'Một' if i % 2 else 'Hai'} người ở {name(i)}.") for i in range(1000)]
+    rows += [(f"o{i:04d}", "a", f"Một người ở {name(i)}") for i in range(50)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, s string, t string")
+    closed = spark.createDataFrame([(t,) for k, _, t in rows if k[0] == "c"], "canon string")
+    counts = {r.word: r.n for r in truncation.word_counts(closed).collect()}
+    assert counts == {"": 1000, "một": 500, "hai": 500, "người": 1000, "ở": 1000} | {name(i): 20 for i in range(50)}
+    truncation.truncated(df, "k", "s", "t").collect()
+    assert seen["frame"] == {"người", "ở"} and sum(y == 0 for _, y in seen["made"]) <= 60
+    assert {seen["level"][truncation.last_word(x)] for x, y in seen["made"] if y == 0} == {2}
