@@ -115,6 +115,15 @@ def pts_of_frames(s, d):
     return joins.pts_of_frames(f, p)
 
 
+@query("""SELECT video_id, CAST(frame_idx AS INT) AS frame_idx, CAST(round_even(pts[frame_idx + 1] * 1000, 0) AS BIGINT) AS pts_ms
+FROM (SELECT user_id AS video_id, pts, unnest(generate_series(0, len(pts))) AS frame_idx FROM (SELECT user_id, list(value ORDER BY value) AS pts FROM events GROUP BY user_id))""")
+def pts_of_all_frames(s, d):
+    """Every position of a group, and the one beyond its end."""
+    p = table(s, d, "events").select(F.col("user_id").alias("video_id"), F.col("value").alias("pts"))
+    f = p.groupBy("video_id").agg(F.count("*").cast("int").alias("n")).select("video_id", F.explode(F.sequence(F.lit(0), "n")).alias("frame_idx"))
+    return joins.pts_of_frames(f, p)
+
+
 # --- aggregates -----------------------------------------------------------------------------------
 
 

@@ -169,3 +169,24 @@ def test_filters_of_none_and_empty(spark):
     df = spark.range(3)
     n = lambda v, e: df.where(joins.in_filter(F.col("id"), v, e)).count()
     assert (n(None, True), n([], False), n([], True), n([1], True)) == (3, 3, 0, 1)
+
+
+def _sql(name, d):
+    import duckdb
+
+    import __spark_entry__
+
+    c = duckdb.connect()
+    for t in ("events", "es_doc", "frame_doc"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet'")
+    return c.execute(__spark_entry__.oracle_sql()[name]).fetchall()
+
+
+def test_packet_times_of_every_position(spark):
+    import __spark_entry__
+
+    d = "/root/testdata/sf0.001"
+    got = [tuple(r) for r in __spark_entry__.queries()["pts_of_all_frames"](spark, d).collect()]
+    events = spark.read.parquet(f"{d}/events.parquet")
+    assert len(got) == events.count() + events.select("user_id").distinct().count()
+    assert sorted(got, key=str) == sorted(_sql("pts_of_all_frames", d), key=str)
