@@ -441,6 +441,11 @@ def search_all(s, d):
     return _rounded(Reader(s, d).search_all("máy quay lia ngang", 50, video_ids=["N00_V999"]))
 
 
+@query(_search_sql("máy quay lia ngang", {"content_all": "concat_ws(' ', ocr_text, ocr_api, caption, transcript)"}, None, "TRUE", 50))
+def search_all_videos(s, d):
+    return _rounded(Reader(s, d).search_all("máy quay lia ngang", 50))
+
+
 @query(f"""WITH {FRAMES}, t AS (SELECT _id AS frame_id, video_id, shot_id, frame_idx, timestamp_ms, objects FROM frames WHERE list_has_any(map_keys(objects), ['loom', 'pump', 'none']) ORDER BY _id LIMIT 100)
 SELECT {_HIT}, list_max(list_transform(['loom', 'pump'], lambda x: objects[x])) AS score FROM t WHERE score >= 0.6""")
 def search_object(s, d):

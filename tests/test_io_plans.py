@@ -190,3 +190,13 @@ def test_packet_times_of_every_position(spark):
     events = spark.read.parquet(f"{d}/events.parquet")
     assert len(got) == events.count() + events.select("user_id").distinct().count()
     assert sorted(got, key=str) == sorted(_sql("pts_of_all_frames", d), key=str)
+
+
+def test_search_over_all_videos(spark):
+    import __spark_entry__
+
+    d = "/root/testdata/sf0.001"
+    got = [tuple(r) for r in __spark_entry__.queries()["search_all_videos"](spark, d).collect()]
+    want = _sql("search_all_videos", d)
+    assert len(want) == 50 and len({r[1] for r in got}) > 1
+    assert [(r[0], pytest.approx(r[-1], abs=2e-5)) for r in want] == [(r[0], r[-1]) for r in got]
