@@ -3,19 +3,24 @@
 Inverted file of coarse centroids with product-quantised residuals, asymmetric distance tables, and
 exact reranking.
 
-1. Centroids and codebooks are fitted in one task on a bounded sample (``TRAIN`` rows at most, whatever the size of
-   the collection). Every row is indexed.
-2. Nearness to a centroid is the cosine after the sample's mean is taken off; with the mean on, the
-   lists near it would draw most of the collection. A vector goes to the list of its nearest centroid
-   and to those of centroids nearly as near (``SPREAD``, at most ``PROBES``), as its list number, its code (``PARTS`` bytes), a scale and a shift
-   that make the asymmetric estimate unbiased, and the vector itself, packed. Vectors that are equal and lie in
-   one task are sent once, so a vector with a great many copies adds one row a task.
-3. In each list every vector is a query: its table of dot products with the codebooks gives estimates
-   for all members, and those near ``least`` and not far below its ``k``-th best estimate are
-   reranked by their exact cosine. A list is worked on in blocks of queries against blocks of
-   members, so memory doesn't grow with it; a list expected to hold more than ``HOT`` rows is spread
-   over tasks by blocks of queries.
-4. Candidates of a query from its lists meet, copies of a vector count as often as they occur, and
+1. The coarse quantiser has two levels: directions of cells, and centroids of what is left, shared by all
+   cells. A list is a pair of both, so ``rows / LIST`` lists take about ``2 sqrt(rows / LIST)`` centroids; their
+   number has no ceiling. Centroids and codebooks are fitted in one task on a bounded sample
+   (``TRAIN`` rows, six a centroid where that is more, ``MOST_TRAIN`` at most). Every row is indexed.
+2. Nearness to a cell is the cosine after the sample's mean is taken off; with the mean on, the cells near it
+   would draw most of the collection. A vector is sent to the cell nearest to it and to those nearly as near
+   (``SPREAD``, at most ``PROBES``), as its lists, its code (``PARTS`` bytes), a scale and a shift that make the asymmetric
+   estimate unbiased, and the vector itself, packed. Vectors that are equal and lie in one task are sent once
+   (as far as ``SENT`` keys are remembered), so a vector with a great many copies adds one row a task.
+3. In a cell every vector is a query against the lists nearest to it (``LISTS``, and those of its neighbours in the
+   block of queries): its table of dot products with the codebooks gives estimates for the
+   members, and those near ``least`` and not far below its ``k``-th best are reranked by their exact cosine. A cell is
+   worked on in blocks of queries against blocks of members, so memory doesn't grow with the square of it.
+   Of a block of which more than ``DENSE`` would be reranked all exact products are formed at once: the same rows come
+   out, at less cost. Vectors of a cell of more than ``WHOLE`` rows stay packed until they are needed.
+4. A cell expected to hold ``CROWDED`` times the usual rows, and ``HOT`` at least, is split into its lists: a vector then
+   goes to the ``LISTS`` nearest of them. A list expected to hold more than that is spread by blocks of queries.
+5. Candidates of a query from its cells meet, copies of a vector count as often as they occur, and
    those not below the ``k``-th best (within ``TIE``) and ``least`` stay.
 
 A usable vector has ``dim`` finite numbers that are not all zero; others take no part. A key delivered
@@ -34,21 +39,25 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows that centroids and codebooks are fitted on, at most.
-TRAIN = 6000
-#: Members that a list should have, on average, and lists at most (and one for 6 rows of the sample at most).
-LIST, MOST_LISTS = 100, 1024
+#: Rows that centroids and codebooks are fitted on: TRAIN, or six a centroid, MOST_TRAIN at most.
+TRAIN, MOST_TRAIN = 6000, 65_536
+#: Members that a list should have, on average.
+LIST = 100
 PARTS = 32
-#: Lists of a vector at most, and how much less near than the first they may be, in units of 1 / sqrt(dim):
+#: Cells of a vector at most, and how much less near than the first they may be, in units of 1 / sqrt(dim):
 #: so much the nearness to a direction scatters between two vectors of one neighbourhood.
 PROBES, SPREAD = 4, 1.0
+#: Lists of its cell that a query looks into.
+LISTS = 4
 #: Estimates may fall short of the exact cosine by so much.
 SLACK = 0.12
 TIE = 1e-5
 #: Share of a block's pairs that need reranking from which the whole block is multiplied out.
 DENSE = 0.1
-#: A list expected to hold more rows is spread over tasks.
-HOT = 20_000
+#: Rows of a cell, and times the usual number of rows, beyond which it is split.
+HOT, CROWDED = 20_000, 8
+#: Vectors that are unpacked at a time, keys of vectors that a task remembers.
+WHOLE, SENT = 16_384, 2_000_000
 MANY_COPIES = 1000
 
 
@@ -91,46 +100,86 @@ def _kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator, unit:
     return c
 
 
+def _pack(x: np.ndarray, z: zstandard.ZstdCompressor) -> list[bytes]:
+    """Each row, without loss: up to 256 different values as a dictionary and a byte a place, others as they are."""
+    out = []
+    for row, places in zip(x, np.sort(x, axis=1)):
+        kinds = places[np.flatnonzero(np.r_[True, places[1:] != places[:-1]])]
+        if len(kinds) <= 256:
+            out.append(len(kinds).to_bytes(2, "little") + kinds.tobytes() + z.compress(np.searchsorted(kinds, row).astype(np.uint8).tobytes()))
+        else:
+            out.append(bytes(2) + z.compress(row.tobytes()))
+    return out
+
+
+def _unpack(packed: list[bytes], dim: int, z: zstandard.ZstdDecompressor) -> np.ndarray:
+    out = np.empty((len(packed), dim), np.float32)
+    for row, p in zip(out, packed):
+        n = int.from_bytes(p[:2], "little")
+        body = z.decompress(p[2 + 4 * n :])
+        row[:] = np.frombuffer(p, np.float32, n, 2)[np.frombuffer(body, np.uint8)] if n else np.frombuffer(body, np.float32)
+    return out
+
+
+def _first(v: np.ndarray, n: int) -> np.ndarray:
+    """Columns of the n highest values of each row, highest first."""
+    n = min(n, v.shape[1])
+    top = np.argpartition(-v, n - 1, axis=1)[:, :n] if n < v.shape[1] else np.tile(np.arange(n), (len(v), 1))
+    return np.take_along_axis(top, np.argsort(-np.take_along_axis(v, top, 1), axis=1, kind="stable"), 1)
+
+
 class Quantizer:
-    """Directions that assign vectors to lists, the lists' centroids, and codebooks of the residuals' parts."""
+    """Directions of cells, centroids shared by all cells that part them into lists, and codebooks of the residuals' parts."""
 
-    def __init__(self, sample: np.ndarray, lists: int, seed: int = 1):
+    def __init__(self, sample: np.ndarray, cells: int, lists: int, seed: int = 1):
         rng = np.random.default_rng(seed)
         self.mean = sample.mean(0) if len(sample) > 1 else np.zeros_like(sample[0])
-        self.directions = _kmeans(_unit(sample - self.mean)[0], lists, 3, rng, unit=True)
-        home = self.nearest(sample)[0][:, 0]
-        self.centroids = np.tile(self.mean, (lists, 1))
-        got, mean = _means(sample, home)
-        self.centroids[got] = mean
-        dim = sample.shape[1]
-        self.parts = min(PARTS, dim)
-        self.width = -(-dim // self.parts)
-        res = self._split(sample - self.centroids[home])
+        u = _unit(sample - self.mean)[0]
+        self.cells = _kmeans(u, cells, 3, rng, unit=True)
+        i = (u @ self.cells.T).argmax(1)
+        self.lists = _kmeans(u - self.cells[i], lists, 3, rng)
+        j = self.near_lists(u, i, 1)[:, 0]
+        # The same two levels as means of the vectors themselves.
+        self.upper, self.lower = np.tile(self.mean, (cells, 1)), np.zeros((lists, sample.shape[1]), np.float32)
+        got, mean = _means(sample, i)
+        self.upper[got] = mean
+        got, mean = _means(sample - self.upper[i], j)
+        self.lower[got] = mean
+        self.parts = min(PARTS, sample.shape[1])
+        self.width = -(-sample.shape[1] // self.parts)
+        res = self._split(sample - self.upper[i] - self.lower[j])
         self.books = np.stack([_kmeans(res[:, m], 256, 4, rng) for m in range(self.parts)])
-        self.share = np.bincount(home, minlength=lists) / len(sample)
+        self.share = np.bincount(i, minlength=cells) / len(sample)
+        self.list_share = np.bincount(j, minlength=lists) / len(sample)
 
     def _split(self, x: np.ndarray) -> np.ndarray:
         pad = self.parts * self.width - x.shape[1]
         return (np.pad(x, ((0, 0), (0, pad))) if pad else x).reshape(len(x), self.parts, self.width)
 
-    def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The PROBES nearest centroids, nearest first, and how much less near than the first each is."""
-        d = _unit(x - self.mean)[0] @ self.directions.T
-        p = min(PROBES, d.shape[1])
-        top = np.argpartition(-d, p - 1, axis=1)[:, :p] if p < d.shape[1] else np.tile(np.arange(p), (len(d), 1))
+    def directed(self, x: np.ndarray) -> np.ndarray:
+        return _unit(x - self.mean)[0]
+
+    def near_cells(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The PROBES nearest cells, nearest first, and how much less near than the first each is."""
+        d = u @ self.cells.T
+        top = _first(d, PROBES)
         v = np.take_along_axis(d, top, 1)
-        order = np.argsort(-v, axis=1, kind="stable")
-        v = np.take_along_axis(v, order, 1)
-        return np.take_along_axis(top, order, 1), v[:, :1] - v
+        return top, v[:, :1] - v
 
-    def encode(self, x: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def near_lists(self, u: np.ndarray, cell: np.ndarray, n: int) -> np.ndarray:
+        """The n nearest lists of a cell, nearest first."""
+        kinds, at = np.unique(cell, return_inverse=True)
+        less = self.cells[kinds] @ self.lists.T + 0.5 * (self.lists * self.lists).sum(1)
+        return _first(u @ self.lists.T - less[at], n)
+
+    def encode(self, x: np.ndarray, cell: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Codes of the residuals, with the scale and shift of estimates.
 
         With x = m + r and the decoded residual d, q . x = q . m + m . r + (q - m) . r, and
         (q - m) . r is estimated without bias by scale (q - m) . d, scale = r . r / r . d. So the estimate is
         q . m + scale (q . d) + shift.
         """
-        m = self.centroids[home]
+        m = self.upper[cell] + self.lower[place]
         r = x - m
         res, mid = self._split(r), self._split(m)
         codes = np.empty((len(x), self.parts), np.uint8)
@@ -150,11 +199,37 @@ class Quantizer:
         return np.matmul(self._split(q).transpose(1, 0, 2), self.books.transpose(0, 2, 1))
 
 
-def _index(quant: Quantizer, dim: int, blocks: np.ndarray):
-    """frame vectors -> rows of lists. A row for each list of the vector and, of hot lists, for each block of queries."""
+class Units:
+    """What is brought together in one task: a cell, or a list of a crowded cell, or a block of queries of it."""
+
+    def __init__(self, quant: Quantizer, rows: int):
+        self.quant, self.n = quant, len(quant.lists) + 1
+        most = max(HOT, CROWDED * rows / len(quant.share))
+        self.split = quant.share * rows > most
+        self.blocks = np.ones((int(self.split.sum()), len(quant.lists)), np.int64)
+        self.row = np.cumsum(self.split) - 1
+        for at, c in zip(self.row[self.split], np.nonzero(self.split)[0]):
+            self.blocks[at] = np.clip(np.ceil(LISTS * quant.share[c] * quant.list_share * rows / most), 1, 4096)
+
+    def of(self, u: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(row, unit, place, blocks) of vectors' directions: place is the list in the unit's cell."""
+        near, less = self.quant.near_cells(u)
+        i, k = np.nonzero(less <= SPREAD / np.sqrt(u.shape[1]))
+        cell = near[i, k]
+        lists = self.quant.near_lists(u[i], cell, LISTS)
+        whole = ~self.split[cell]
+        out = [(i[whole], cell[whole] * self.n, lists[whole, 0], np.ones(int(whole.sum()), np.int64))]
+        i, cell, lists = i[~whole], cell[~whole], lists[~whole]
+        for p in lists.T if len(i) else ():
+            out.append((i, cell * self.n + 1 + p, p, self.blocks[self.row[cell], p]))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _index(quant: Quantizer, dim: int, units: Units):
+    """frame vectors -> rows of units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
+        z = zstandard.ZstdCompressor(level=3)
         sent: set[tuple[int, int]] = set()
         for whole in batches:
             for part in range(0, whole.num_rows, 2000):
@@ -166,97 +241,98 @@ def _index(quant: Quantizer, dim: int, blocks: np.ndarray):
                     if ok[i]:
                         if key in sent:
                             ok[i] = False
-                        elif len(sent) < 2_000_000:
+                        elif len(sent) < SENT:
                             sent.add(key)
                 x, ha, hb = x[ok], ha[ok], hb[ok]
                 if not len(x):
                     continue
-                near, less = quant.nearest(x)
-                codes, scale, shift = quant.encode(x, near[:, 0])
-                packed = [pack.compress(v.tobytes()) for v in x]
-                i, j = np.nonzero(less <= SPREAD / np.sqrt(dim))
-                lists, n = near[i, j], blocks[near[i, j]]
+                u = quant.directed(x)
+                cell = (u @ quant.cells.T).argmax(1)
+                home = quant.near_lists(u, cell, 1)[:, 0]
+                codes, scale, shift = quant.encode(x, cell, home)
+                packed = _pack(x, z)
+                i, unit, place, n = units.of(u)
                 rep = np.repeat(np.arange(len(i)), n)
                 blk = np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)
-                i, lists = i[rep], lists[rep]
-                own = (hb[i].view(np.uint64) % blocks[lists].astype(np.uint64)).astype(np.int64) == blk
-                home = near[i, 0]
-                flat = codes[i].tobytes()
+                i, unit, place, n = i[rep], unit[rep], place[rep], n[rep]
+                own = (hb[i].view(np.uint64) % n.astype(np.uint64)).astype(np.int64) == blk
                 w = codes.shape[1]
+                flat = codes[i].tobytes()
                 code = [flat[a * w : a * w + w] for a in range(len(i))]
-                cols = [pa.array(lists * 4096 + blk), pa.array(ha[i]), pa.array(hb[i]), pa.array(own), pa.array(home.astype(np.int32)), pa.array(code, pa.binary()), pa.array(scale[i]), pa.array(shift[i]), pa.array([packed[a] for a in i.tolist()], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["list", "ha", "hb", "own", "home", "code", "scale", "shift", "vec"])
+                ints = [pa.array(v.astype(np.int32)) for v in (place, cell[i], home[i])]
+                cols = [pa.array(unit * 4096 + blk), pa.array(ha[i]), pa.array(hb[i]), pa.array(own), *ints, pa.array(code, pa.binary()), pa.array(scale[i]), pa.array(shift[i]), pa.array([packed[a] for a in i.tolist()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["unit", "ha", "hb", "own", "place", "cell", "home", "code", "scale", "shift", "vec"])
 
     return run
 
 
-_LIST_SCHEMA = "list bigint, ha bigint, hb bigint, own boolean, home int, code binary, scale float, shift float, vec binary"
+_UNIT_SCHEMA = "unit bigint, ha bigint, hb bigint, own boolean, place int, cell int, home int, code binary, scale float, shift float, vec binary"
 
 
 def _search(quant: Quantizer, dim: int, k: int, least: float):
-    """Rows sorted by list, own before others -> (ha, hb, oa, ob, cos): candidates of the lists' own rows."""
+    """Rows sorted by unit and place -> (ha, hb, oa, ob, cos): candidates of the units' own rows."""
 
-    def pairs(rows: pa.Table, unpack) -> Iterator[pa.RecordBatch]:
+    def pairs(rows: pa.Table, z: zstandard.ZstdDecompressor) -> Iterator[pa.RecordBatch]:
         ha, hb = rows["ha"].to_numpy(), rows["hb"].to_numpy()
         keep = np.nonzero(np.r_[True, (ha[1:] != ha[:-1]) | (hb[1:] != hb[:-1])])[0]  # copies stand side by side
         if len(keep) < 2:
             return
         rows = rows.take(pa.array(keep))
         ha, hb, own = ha[keep], hb[keep], rows["own"].to_numpy(zero_copy_only=False)
-        home, scale, shift = rows["home"].to_numpy(), rows["scale"].to_numpy(), rows["shift"].to_numpy()
+        place, scale, shift = rows["place"].to_numpy(), rows["scale"].to_numpy(), rows["shift"].to_numpy()
+        (cells, upper), (homes, lower) = (np.unique(rows[c].to_numpy(), return_inverse=True) for c in ("cell", "home"))
+        unit = int(rows["unit"][0].as_py()) // 4096
+        here = np.full(1, unit // (len(quant.lists) + 1))
+        single = unit % (len(quant.lists) + 1) > 0
         codes = np.frombuffer(b"".join(rows["code"].to_pylist()), np.uint8).reshape(len(keep), quant.parts)
         vec = rows["vec"].combine_chunks()
-        vectors = lambda at: np.frombuffer(b"".join(unpack.decompress(v.as_py()) for v in vec.take(pa.array(at))), np.float32).reshape(len(at), dim)
+        vectors = lambda at: _unpack(vec.take(pa.array(at)).to_pylist(), dim, z)
         mine = np.nonzero(own)[0]
-        whole = vectors(np.arange(len(keep))) if len(keep) <= 16_384 else None
+        whole = vectors(np.arange(len(keep))) if len(keep) <= WHOLE else None
+        of = lambda at: whole[at] if whole is not None else vectors(at)
         for a in range(0, len(mine), 128):
             qi = mine[a : a + 128]
-            q = whole[qi] if whole is not None else vectors(qi)
+            q = of(qi)
             lut = quant.tables(q)
-            coarse = q @ quant.centroids[np.unique(home)].T
-            place = np.searchsorted(np.unique(home), home)
+            above, below = q @ quant.upper[cells].T, q @ quant.lower[homes].T
+            members = np.arange(len(keep))
+            if not single:
+                wanted = np.unique(quant.near_lists(quant.directed(q), here.repeat(len(q)), LISTS))
+                members = np.concatenate([np.arange(x, y) for x, y in zip(np.searchsorted(place, wanted), np.searchsorted(place, wanted, side="right"))])
             got: list[tuple] = []
-            kth = np.full(len(qi), -1.0, np.float32)
-            for b in range(0, len(keep), 2048):
-                c = codes[b : b + 2048]
+            best = np.full((len(qi), k), -1.0, np.float32)  # exact, of the members so far
+            for b in range(0, len(members), 2048):
+                m = members[b : b + 2048]
+                c = codes[m]
                 est = lut[0].take(c[:, 0], axis=1)
-                for m in range(1, quant.parts):
-                    est += lut[m].take(c[:, m], axis=1)
-                est *= scale[b : b + 2048]
-                est += coarse[:, place[b : b + 2048]] + shift[b : b + 2048]
-                est[qi[:, None] == np.arange(b, b + len(c))] = -1
-                if len(c) >= k:  # the k-th best so far
-                    kth = np.maximum(kth, -np.partition(-est, k - 1, axis=1)[:, k - 1])
-                near = est >= np.maximum(least - SLACK, np.minimum(kth, 1) - 2 * SLACK)[:, None]
-                if near.sum() > DENSE * near.size:  # a crowd that estimates can't part: exact products for the whole block
-                    other = np.arange(b, b + len(c))
-                    est = q @ (whole[other] if whole is not None else vectors(other)).T
-                    est[qi[:, None] == other] = -1
-                    best = -np.partition(-est, k - 1, axis=1)[:, k - 1] if len(c) >= k else np.full(len(qi), -1.0)
-                    near = est >= np.maximum(least - TIE, best - 2 * TIE)[:, None]
-                i, j = np.nonzero(near)
-                if len(i):
-                    got.append((i, j + b, est[i, j]))
-            if not got:
-                continue
-            i, j, e = (np.concatenate(z) for z in zip(*got))
-            ok = e >= np.minimum(kth, 1)[i] - 2 * SLACK
-            i, j = i[ok], j[ok]
-            cos = np.empty(len(i))
-            for b in range(0, len(i), 4096):
-                other = whole[j[b : b + 4096]] if whole is not None else vectors(j[b : b + 4096])
-                cos[b : b + 4096] = np.einsum("ij,ij->i", q[i[b : b + 4096]], other, dtype=np.float64)
-            order = np.lexsort((-cos, i))
-            i, j, cos = i[order], j[order], cos[order]
-            at = np.searchsorted(i, np.arange(len(qi)))
-            place_k = np.minimum(at + k - 1, len(i) - 1)
-            full = (np.searchsorted(i, np.arange(len(qi)), side="right") - at) >= k
-            floor = np.where(full, cos[place_k] - TIE, -1.0) if len(i) else np.full(len(qi), -1.0)
-            ok = (cos >= least) & (cos >= floor[i])
-            i, j, cos = i[ok], j[ok], cos[ok]
+                for p in range(1, quant.parts):
+                    est += lut[p].take(c[:, p], axis=1)
+                est *= scale[m]
+                est += above[:, upper[m]] + below[:, lower[m]] + shift[m]
+                self_ = qi[:, None] == m
+                est[self_] = -1
+                floor = np.maximum(least, best.min(1)) - SLACK
+                if len(m) > k:
+                    floor = np.maximum(floor, np.minimum(-np.partition(-est, k - 1, axis=1)[:, k - 1], 1) - 2 * SLACK)
+                near = est >= floor[:, None]
+                exact = np.full(est.shape, -1.0, np.float32)
+                if near.sum() > DENSE * near.size:
+                    exact = q @ of(m).T
+                    exact[self_] = -1
+                else:
+                    i, j = np.nonzero(near)
+                    for x in range(0, len(i), 4096):
+                        s = slice(x, x + 4096)
+                        exact[i[s], j[s]] = np.einsum("ij,ij->i", q[i[s]], of(m[j[s]]), dtype=np.float64)
+                all_ = np.concatenate([best, exact], axis=1)
+                best = -np.partition(-all_, k - 1, axis=1)[:, :k]
+                i, j = np.nonzero(exact >= np.maximum(least, best.min(1) - TIE)[:, None])
+                got.append((i, m[j], exact[i, j]))
+            i, j, cos = (np.concatenate(v) for v in zip(*got))
+            ok = cos >= best.min(1)[i] - TIE
+            i, j, cos = qi[i[ok]], j[ok], cos[ok].astype(np.float64)
             if len(i):
-                s = qi[i]
-                cols = [pa.array(z) for z in (ha[s], hb[s], ha[j], hb[j], cos)]
+                cols = [pa.array(v) for v in (ha[i], hb[i], ha[j], hb[j], cos)]
                 yield pa.RecordBatch.from_arrays(cols, names=["ha", "hb", "oa", "ob", "cos"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,21 +359,29 @@ def _hashed(df: DataFrame, key: str, vector: str, dim: int) -> DataFrame:
     return t.select("id", F.xxhash64("v").alias("ha"), F.xxhash64(F.lit(17), "v").alias("hb"), "v")
 
 
+def _levels(rows: int) -> tuple[int, int]:
+    """Cells, and lists a cell, for so many rows."""
+    lists = max(1, round((rows / LIST) ** 0.5))
+    return max(1, -(-rows // (LIST * lists))), lists
+
+
 def _fit(df: DataFrame, vector: str, dim: int, rows: int) -> Quantizer | None:
-    """Fitted in one task, from TRAIN rows at most; the driver gets the model only."""
+    """Fitted in one task, from a bounded sample; the driver gets the model only."""
     t = df.select(F.col(vector).alias("v")).where(F.size("v") == dim)
-    if rows > TRAIN:
-        t = t.sample(False, min(1.0, 1.05 * TRAIN / rows), 5)
+    cells, lists = _levels(rows)
+    most = min(MOST_TRAIN, max(TRAIN, 6 * cells, 6 * lists))
+    if rows > most:
+        t = t.sample(False, min(1.0, 1.05 * most / rows), 5)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [_unit(_matrix(b.column(0), dim)[1]) for b in batches]
         x = np.concatenate([v[ok] for v, ok in parts]) if parts else np.zeros((0, dim), np.float32)
         del parts
         if len(x):
-            lists = int(np.clip(rows // LIST, 1, min(MOST_LISTS, max(1, len(x) // 6))))
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Quantizer(x, lists))], pa.binary())], names=["model"])
+            fits = max(1, len(x) // 6)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Quantizer(x, min(cells, fits), min(lists, fits)))], pa.binary())], names=["model"])
 
-    got = t.limit(TRAIN).coalesce(1).mapInArrow(run, "model binary").collect()
+    got = t.limit(most).coalesce(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(got[0][0]) if got else None
 
 
@@ -313,9 +397,8 @@ def near_classes(df: DataFrame, key: str, vector: str, dim: int, k: int, least:
     kind = dict(t.dtypes)["id"]
     if quant is None:
         return spark.createDataFrame([], f"id {kind}, ha bigint, hb bigint"), spark.createDataFrame([], "ha bigint, hb bigint, oa bigint, ob bigint, cos double")
-    blocks = np.clip(np.ceil(quant.share * rows / HOT), 1, 4096).astype(np.int64)
-    lists = t.select("ha", "hb", "v").mapInArrow(_index(quant, dim, blocks), _LIST_SCHEMA)
-    lists = lists.repartition("list").sortWithinPartitions("list", "ha", "hb")
+    lists = t.select("ha", "hb", "v").mapInArrow(_index(quant, dim, Units(quant, rows)), _UNIT_SCHEMA)
+    lists = lists.repartition("unit").sortWithinPartitions("unit", "place", "ha", "hb")
     near = lists.mapInArrow(_search(quant, dim, k, least), "ha bigint, hb bigint, oa bigint, ob bigint, cos double")
     good = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("v", lambda x: x != 0)

@@ -41,6 +41,7 @@ def test_recall_and_precision(table):
 def test_hot_lists_are_spread(table, monkeypatch):
     r, df = table
     monkeypatch.setattr(neighbours, "HOT", 10)
+    monkeypatch.setattr(neighbours, "CROWDED", 0)
     want = brute(r, 48, 5, 0.8)
     got = {(x[0], x[1]) for x in neighbours.near_pairs(df, "a", "cos", 48).collect()}
     assert len(want & got) >= 0.97 * len(want)
@@ -58,3 +59,18 @@ def test_few_rows_and_none(spark):
     assert {(x[0], x[1]) for x in neighbours.near_pairs(df, "k", "v", 2).collect()} == {("a", "b")}
     assert neighbours.near_pairs(df.limit(0), "k", "v", 2).count() == 0
     assert neighbours.near_pairs(df, "k", "v", 3).count() == 0
+
+
+def test_packing_loses_nothing():
+    import zstandard
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(3, 300)), rng.integers(-5, 5, (3, 300)) * 0.1, np.zeros((1, 300))]).astype(np.float32)
+    packed = neighbours._pack(x, zstandard.ZstdCompressor(level=3))
+    assert (neighbours._unpack(packed, 300, zstandard.ZstdDecompressor()) == x).all() and len(packed[3]) < len(packed[0]) / 3
+
+
+def test_lists_grow_with_the_rows():
+    for n in (1, 100, 10_000, 1_000_000, 10**9):
+        cells, lists = neighbours._levels(n)
+        assert 0.5 * n / neighbours.LIST <= cells * lists <= 2 * n / neighbours.LIST + 2
