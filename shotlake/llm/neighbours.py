@@ -3,23 +3,24 @@
 Inverted file of coarse centroids with product-quantised residuals, asymmetric distance tables, and
 exact reranking.
 
-1. The coarse quantiser has two levels: directions of cells, and centroids of what is left, shared by all
-   cells. A list is a pair of both, so ``rows / LIST`` lists take about ``2 sqrt(rows / LIST)`` centroids; their
-   number has no ceiling. Centroids and codebooks are fitted in one task on a bounded sample
-   (``TRAIN`` rows, six a centroid where that is more, ``MOST_TRAIN`` at most). Every row is indexed.
+1. The coarse quantiser has two levels: cells, and each cell's lists. With
+   ``sqrt(rows / LIST)`` cells, and a list for ``LIST`` members of a cell, lists grow with the rows, without a ceiling.
+   A cell is a group of neighbouring directions (``ROUTES`` in all, four a cell where that is more),
+   because groups of fine directions seldom part neighbours. They and the codebooks of residuals are fitted in one task on a bounded sample (``TRAIN`` rows, six a direction where that is more,
+   ``MOST_TRAIN`` at most); a cell's lists are fitted where its vectors meet. Every row is indexed.
 2. Nearness to a cell is the cosine after the sample's mean is taken off; with the mean on, the cells near it
-   would draw most of the collection. A vector is sent to the cell nearest to it and to those nearly as near
-   (``SPREAD``, at most ``PROBES``), as its lists, its code (``PARTS`` bytes), a scale and a shift that make the asymmetric
-   estimate unbiased, and the vector itself, packed. Vectors that are equal and lie in one task are sent once
+   would draw most of the collection; likewise for lists in a cell. A vector is sent, packed, to the cell of the direction nearest to it and to those of directions nearly as near
+   (``SPREAD``, at most ``PROBES``). Vectors that are equal and lie in one task are sent once
    (as far as ``SENT`` keys are remembered), so a vector with a great many copies adds one row a task.
-3. In a cell every vector is a query against the lists nearest to it (``LISTS``, and those of its neighbours in the
-   block of queries): its table of dot products with the codebooks gives estimates for the
-   members, and those near ``least`` and not far below its ``k``-th best are reranked by their exact cosine. A cell is
-   worked on in blocks of queries against blocks of members, so memory doesn't grow with the square of it.
-   Of a block of which more than ``DENSE`` would be reranked all exact products are formed at once: the same rows come
+3. In a cell every vector joins its list as a code of its residual (``PARTS`` half bytes), with a scale and a shift that make the
+   asymmetric estimate unbiased, and is a query against the ``LISTS`` lists nearest to it: its table of dot products
+   with the codebooks gives estimates for the members, and those near ``least`` and not far below its ``k``-th best are
+   reranked by their exact cosine. A cell is worked on in blocks of queries against blocks of a list's members,
+   so memory doesn't grow with the square of it.
+   Of such a block of which more than ``DENSE`` would be reranked all exact products are formed at once: the same rows come
    out, at less cost. Vectors of a cell of more than ``WHOLE`` rows stay packed until they are needed.
-4. A cell expected to hold ``CROWDED`` times the usual rows, and ``HOT`` at least, is split into its lists: a vector then
-   goes to the ``LISTS`` nearest of them. A list expected to hold more than that is spread by blocks of queries.
+4. A cell expected to hold ``CROWDED`` times the usual rows, and ``HOT`` at least, is split by directions of its own into cells of
+   the usual size, of which a vector goes to the ``LISTS`` nearest. What can't be split is spread by blocks of queries.
 5. Candidates of a query from its cells meet, copies of a vector count as often as they occur, and
    those not below the ``k``-th best (within ``TIE``) and ``least`` stay.
 
@@ -39,20 +40,23 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows that centroids and codebooks are fitted on: TRAIN, or six a centroid, MOST_TRAIN at most.
+#: Rows that directions and codebooks are fitted on: TRAIN, or six a direction, MOST_TRAIN at most.
 TRAIN, MOST_TRAIN = 6000, 65_536
 #: Members that a list should have, on average.
 LIST = 100
-PARTS = 32
-#: Cells of a vector at most, and how much less near than the first they may be, in units of 1 / sqrt(dim):
+#: Parts of a residual, and centroids of a part: two places of a code go in a byte.
+PARTS, CODES = 64, 16
+#: Directions that the cells are groups of.
+ROUTES = 1000
+#: Directions of a vector at most, and how much less near than the first they may be, in units of 1 / sqrt(dim):
 #: so much the nearness to a direction scatters between two vectors of one neighbourhood.
 PROBES, SPREAD = 4, 1.0
-#: Lists of its cell that a query looks into.
-LISTS = 4
+#: Lists of its cell that a query looks into, and queries that are worked on together.
+LISTS, BLOCK = 3, 4096
 #: Estimates may fall short of the exact cosine by so much.
-SLACK = 0.12
+SLACK = 0.1
 TIE = 1e-5
-#: Share of a block's pairs that need reranking from which the whole block is multiplied out.
+#: Share of the pairs of a list and its queries that need reranking from which the whole block is multiplied out.
 DENSE = 0.1
 #: Rows of a cell, and times the usual number of rows, beyond which it is split.
 HOT, CROWDED = 20_000, 8
@@ -102,14 +106,17 @@ def _kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator, unit:
 
 def _pack(x: np.ndarray, z: zstandard.ZstdCompressor) -> list[bytes]:
     """Each row, without loss: up to 256 different values as a dictionary and a byte a place, others as they are."""
-    out = []
-    for row, places in zip(x, np.sort(x, axis=1)):
-        kinds = places[np.flatnonzero(np.r_[True, places[1:] != places[:-1]])]
-        if len(kinds) <= 256:
-            out.append(len(kinds).to_bytes(2, "little") + kinds.tobytes() + z.compress(np.searchsorted(kinds, row).astype(np.uint8).tobytes()))
-        else:
-            out.append(bytes(2) + z.compress(row.tobytes()))
-    return out
+    above = x - x.min(1, keepdims=True)
+    with np.errstate(all="ignore"):
+        level = np.rint(above / np.where(above > 0, above, np.inf).min(1, keepdims=True))
+    # Values on a grid have few levels; whether a level stands for one value is seen by looking it up.
+    fits = np.isfinite(level).all(1) & (level.max(1, initial=0) < 256)
+    level = np.where(fits[:, None], level, 0).astype(np.uint8)
+    kinds = np.zeros((len(x), 256), np.float32)
+    kinds[np.arange(len(x))[:, None], level] = x
+    fits &= (np.take_along_axis(kinds, level.astype(np.int64), 1) == x).all(1)
+    size = level.max(1, initial=0).astype(int) + 1
+    return [n.to_bytes(2, "little") + k[:n].tobytes() + z.compress(v.tobytes()) if ok else bytes(2) + z.compress(row.tobytes()) for ok, n, k, v, row in zip(fits.tolist(), size.tolist(), kinds, level, x)]
 
 
 def _unpack(packed: list[bytes], dim: int, z: zstandard.ZstdDecompressor) -> np.ndarray:
@@ -128,58 +135,89 @@ def _first(v: np.ndarray, n: int) -> np.ndarray:
     return np.take_along_axis(top, np.argsort(-np.take_along_axis(v, top, 1), axis=1, kind="stable"), 1)
 
 
+class Directions:
+    """n directions from the mean of a sample, in groups. Nearness is the cosine after the mean is taken off."""
+
+    def __init__(self, sample: np.ndarray, n: int, groups: int, rng: np.random.Generator):
+        self.mean = sample.mean(0) if len(sample) > 1 else np.zeros_like(sample[0])
+        to = _kmeans(_unit(sample - self.mean)[0], n, 3, rng, unit=True)
+        self.centres = _kmeans(to, min(groups, n), 6, rng, unit=True)
+        group = (to @ self.centres.T).argmax(1)
+        self.to, self.group = to, group
+
+    def nearest(self, x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The n nearest directions of each row, nearest first, and their cosines."""
+        d = _unit(x - self.mean)[0] @ self.to.T
+        top = _first(d, n)
+        return top, np.take_along_axis(d, top, 1)
+
+
+def _runs(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """Different sorted keys, and the values of each."""
+    kinds, first = np.unique(keys, return_index=True)
+    return kinds.tolist(), np.split(values, first[1:])
+
+
 class Quantizer:
-    """Directions of cells, centroids shared by all cells that part them into lists, and codebooks of the residuals' parts."""
+    """Directions of cells, of parts of crowded ones, and codebooks of the residuals' parts."""
 
-    def __init__(self, sample: np.ndarray, cells: int, lists: int, seed: int = 1):
+    def __init__(self, sample: np.ndarray, cells: int, rows: int, seed: int = 1):
         rng = np.random.default_rng(seed)
-        self.mean = sample.mean(0) if len(sample) > 1 else np.zeros_like(sample[0])
-        u = _unit(sample - self.mean)[0]
-        self.cells = _kmeans(u, cells, 3, rng, unit=True)
-        i = (u @ self.cells.T).argmax(1)
-        self.lists = _kmeans(u - self.cells[i], lists, 3, rng)
-        j = self.near_lists(u, i, 1)[:, 0]
-        # The same two levels as means of the vectors themselves.
-        self.upper, self.lower = np.tile(self.mean, (cells, 1)), np.zeros((lists, sample.shape[1]), np.float32)
-        got, mean = _means(sample, i)
-        self.upper[got] = mean
-        got, mean = _means(sample - self.upper[i], j)
-        self.lower[got] = mean
+        routes = int(min(max(1, rows // LIST), max(ROUTES, 4 * cells), max(1, len(sample) // 6)))
+        self.cells = Directions(sample, routes, cells, rng)
+        cells = len(self.cells.centres)
+        cell = self.cells.group[self.cells.nearest(sample, 1)[0][:, 0]]
+        usual = max(HOT, CROWDED * rows / cells)
+        self.inner: dict[int, Directions] = {}
+        #: Units that vectors are brought together in, beginning at first[cell]; blocks of queries that each is spread over.
+        self.first, blocks, res = np.zeros(cells, np.int64), [], []
+        for c in range(cells):
+            mine = sample[cell == c]
+            self.first[c] = len(blocks)
+            expected = len(mine) / len(sample) * rows
+            blocks.append(1)
+            if expected > usual:
+                n = int(np.clip(-(-expected * cells // rows), 1, max(1, len(mine) // 6)))
+                self.inner[c] = Directions(mine, n, 1, rng)
+                at = self.inner[c].nearest(mine, 1)[0][:, 0]
+                blocks[-1:] = np.clip(np.ceil(LISTS * np.bincount(at, minlength=n) / len(mine) * expected / usual), 1, 4096).astype(int).tolist()
+            if len(mine):
+                at = Directions(mine, max(1, len(mine) // 12), 1, rng).nearest(mine, 1)[0][:, 0]
+                got, mean = _means(mine, at)
+                res.append(mine - mean[np.searchsorted(got, at)])
+        self.blocks = np.array(blocks)
         self.parts = min(PARTS, sample.shape[1])
         self.width = -(-sample.shape[1] // self.parts)
-        res = self._split(sample - self.upper[i] - self.lower[j])
-        self.books = np.stack([_kmeans(res[:, m], 256, 4, rng) for m in range(self.parts)])
-        self.share = np.bincount(i, minlength=cells) / len(sample)
-        self.list_share = np.bincount(j, minlength=lists) / len(sample)
+        parts = self._split(np.concatenate(res))
+        self.books = np.stack([_kmeans(parts[:, m], CODES, 4, rng) for m in range(self.parts)])
 
     def _split(self, x: np.ndarray) -> np.ndarray:
         pad = self.parts * self.width - x.shape[1]
         return (np.pad(x, ((0, 0), (0, pad))) if pad else x).reshape(len(x), self.parts, self.width)
 
-    def directed(self, x: np.ndarray) -> np.ndarray:
-        return _unit(x - self.mean)[0]
-
-    def near_cells(self, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The PROBES nearest cells, nearest first, and how much less near than the first each is."""
-        d = u @ self.cells.T
-        top = _first(d, PROBES)
-        v = np.take_along_axis(d, top, 1)
-        return top, v[:, :1] - v
-
-    def near_lists(self, u: np.ndarray, cell: np.ndarray, n: int) -> np.ndarray:
-        """The n nearest lists of a cell, nearest first."""
-        kinds, at = np.unique(cell, return_inverse=True)
-        less = self.cells[kinds] @ self.lists.T + 0.5 * (self.lists * self.lists).sum(1)
-        return _first(u @ self.lists.T - less[at], n)
-
-    def encode(self, x: np.ndarray, cell: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Codes of the residuals, with the scale and shift of estimates.
+    def units(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, unit) for each unit that a vector is sent to."""
+        top, v = self.cells.nearest(x, PROBES)
+        cell = np.where(v[:, :1] - v <= SPREAD / np.sqrt(x.shape[1]), self.cells.group[top], -1)
+        for k in range(1, cell.shape[1]):
+            cell[(cell[:, :k] == cell[:, k : k + 1]).any(axis=1), k] = -1
+        i, k = np.nonzero(cell >= 0)
+        cell = cell[i, k]
+        split = np.isin(cell, list(self.inner))
+        out = [(i[~split], self.first[cell[~split]])]
+        for c in np.unique(cell[split]).tolist():
+            rows = i[cell == c]
+            at = self.inner[c].nearest(x[rows], LISTS)[0]
+            out.append((np.repeat(rows, at.shape[1]), self.first[c] + at.ravel()))
+        return tuple(np.concatenate(z) for z in zip(*out))
+
+    def encode(self, x: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes of the residuals of x to m, with the scale and shift of estimates.
 
         With x = m + r and the decoded residual d, q . x = q . m + m . r + (q - m) . r, and
         (q - m) . r is estimated without bias by scale (q - m) . d, scale = r . r / r . d. So the estimate is
-        q . m + scale (q . d) + shift.
+        q . m + scale (q . d) + shift. A residual that its code hardly resembles gets an estimate that always reranks.
         """
-        m = self.upper[cell] + self.lower[place]
         r = x - m
         res, mid = self._split(r), self._split(m)
         codes = np.empty((len(x), self.parts), np.uint8)
@@ -191,45 +229,20 @@ class Quantizer:
             rd += np.einsum("ij,ij->i", res[:, k], d)
             md += np.einsum("ij,ij->i", mid[:, k], d)
         rr = np.einsum("ij,ij->i", r, r)
-        scale = np.where(rd > 0.1 * rr, rr / np.maximum(rd, 1e-12), 0).astype(np.float32)
-        return codes, scale, (np.einsum("ij,ij->i", m, r) - scale * md).astype(np.float32)
+        like = rd > 0.1 * rr
+        scale = np.where(like, rr / np.maximum(rd, 1e-12), 0).astype(np.float32)
+        return codes, scale, np.where(like | (rr < 1e-12), np.einsum("ij,ij->i", m, r) - scale * md, 3).astype(np.float32)
 
     def tables(self, q: np.ndarray) -> np.ndarray:
-        """(parts, queries, 256): dot products of the queries' parts with the codebooks."""
+        """(parts, queries, CODES): dot products of the queries' parts with the codebooks."""
         return np.matmul(self._split(q).transpose(1, 0, 2), self.books.transpose(0, 2, 1))
 
 
-class Units:
-    """What is brought together in one task: a cell, or a list of a crowded cell, or a block of queries of it."""
-
-    def __init__(self, quant: Quantizer, rows: int):
-        self.quant, self.n = quant, len(quant.lists) + 1
-        most = max(HOT, CROWDED * rows / len(quant.share))
-        self.split = quant.share * rows > most
-        self.blocks = np.ones((int(self.split.sum()), len(quant.lists)), np.int64)
-        self.row = np.cumsum(self.split) - 1
-        for at, c in zip(self.row[self.split], np.nonzero(self.split)[0]):
-            self.blocks[at] = np.clip(np.ceil(LISTS * quant.share[c] * quant.list_share * rows / most), 1, 4096)
-
-    def of(self, u: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(row, unit, place, blocks) of vectors' directions: place is the list in the unit's cell."""
-        near, less = self.quant.near_cells(u)
-        i, k = np.nonzero(less <= SPREAD / np.sqrt(u.shape[1]))
-        cell = near[i, k]
-        lists = self.quant.near_lists(u[i], cell, LISTS)
-        whole = ~self.split[cell]
-        out = [(i[whole], cell[whole] * self.n, lists[whole, 0], np.ones(int(whole.sum()), np.int64))]
-        i, cell, lists = i[~whole], cell[~whole], lists[~whole]
-        for p in lists.T if len(i) else ():
-            out.append((i, cell * self.n + 1 + p, p, self.blocks[self.row[cell], p]))
-        return tuple(np.concatenate(x) for x in zip(*out))
-
-
-def _index(quant: Quantizer, dim: int, units: Units):
+def _index(quant: Quantizer, dim: int):
     """frame vectors -> rows of units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z = zstandard.ZstdCompressor(level=3)
+        z = zstandard.ZstdCompressor(level=1)
         sent: set[tuple[int, int]] = set()
         for whole in batches:
             for part in range(0, whole.num_rows, 2000):
@@ -246,88 +259,107 @@ def _index(quant: Quantizer, dim: int, units: Units):
                 x, ha, hb = x[ok], ha[ok], hb[ok]
                 if not len(x):
                     continue
-                u = quant.directed(x)
-                cell = (u @ quant.cells.T).argmax(1)
-                home = quant.near_lists(u, cell, 1)[:, 0]
-                codes, scale, shift = quant.encode(x, cell, home)
                 packed = _pack(x, z)
-                i, unit, place, n = units.of(u)
+                i, unit = quant.units(x)
+                n = quant.blocks[unit]
                 rep = np.repeat(np.arange(len(i)), n)
                 blk = np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)
-                i, unit, place, n = i[rep], unit[rep], place[rep], n[rep]
+                i, unit, n = i[rep], unit[rep], n[rep]
                 own = (hb[i].view(np.uint64) % n.astype(np.uint64)).astype(np.int64) == blk
-                w = codes.shape[1]
-                flat = codes[i].tobytes()
-                code = [flat[a * w : a * w + w] for a in range(len(i))]
-                ints = [pa.array(v.astype(np.int32)) for v in (place, cell[i], home[i])]
-                cols = [pa.array(unit * 4096 + blk), pa.array(ha[i]), pa.array(hb[i]), pa.array(own), *ints, pa.array(code, pa.binary()), pa.array(scale[i]), pa.array(shift[i]), pa.array([packed[a] for a in i.tolist()], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["unit", "ha", "hb", "own", "place", "cell", "home", "code", "scale", "shift", "vec"])
+                cols = [pa.array(unit * 4096 + blk), pa.array(ha[i]), pa.array(hb[i]), pa.array(own), pa.array([packed[a] for a in i.tolist()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["unit", "ha", "hb", "own", "vec"])
 
     return run
 
 
-_UNIT_SCHEMA = "unit bigint, ha bigint, hb bigint, own boolean, place int, cell int, home int, code binary, scale float, shift float, vec binary"
+_UNIT_SCHEMA = "unit bigint, ha bigint, hb bigint, own boolean, vec binary"
 
 
 def _search(quant: Quantizer, dim: int, k: int, least: float):
-    """Rows sorted by unit and place -> (ha, hb, oa, ob, cos): candidates of the units' own rows."""
+    """Rows sorted by unit -> (ha, hb, oa, ob, cos): candidates of the units' own rows."""
 
     def pairs(rows: pa.Table, z: zstandard.ZstdDecompressor) -> Iterator[pa.RecordBatch]:
         ha, hb = rows["ha"].to_numpy(), rows["hb"].to_numpy()
         keep = np.nonzero(np.r_[True, (ha[1:] != ha[:-1]) | (hb[1:] != hb[:-1])])[0]  # copies stand side by side
         if len(keep) < 2:
             return
-        rows = rows.take(pa.array(keep))
-        ha, hb, own = ha[keep], hb[keep], rows["own"].to_numpy(zero_copy_only=False)
-        place, scale, shift = rows["place"].to_numpy(), rows["scale"].to_numpy(), rows["shift"].to_numpy()
-        (cells, upper), (homes, lower) = (np.unique(rows[c].to_numpy(), return_inverse=True) for c in ("cell", "home"))
-        unit = int(rows["unit"][0].as_py()) // 4096
-        here = np.full(1, unit // (len(quant.lists) + 1))
-        single = unit % (len(quant.lists) + 1) > 0
-        codes = np.frombuffer(b"".join(rows["code"].to_pylist()), np.uint8).reshape(len(keep), quant.parts)
-        vec = rows["vec"].combine_chunks()
-        vectors = lambda at: _unpack(vec.take(pa.array(at)).to_pylist(), dim, z)
-        mine = np.nonzero(own)[0]
-        whole = vectors(np.arange(len(keep))) if len(keep) <= WHOLE else None
-        of = lambda at: whole[at] if whole is not None else vectors(at)
-        for a in range(0, len(mine), 128):
-            qi = mine[a : a + 128]
+        vec = rows["vec"].combine_chunks().take(pa.array(keep))
+        ha, hb, own = ha[keep], hb[keep], rows["own"].to_numpy(zero_copy_only=False)[keep]
+        del rows
+        whole = _unpack(vec.to_pylist(), dim, z) if len(keep) <= WHOLE else None
+
+        def of(at: np.ndarray) -> np.ndarray:
+            return whole[at] if whole is not None else _unpack(vec.take(pa.array(at)).to_pylist(), dim, z)
+
+        # The unit's lists, and every member's code in its list.
+        rng = np.random.default_rng(len(keep))
+        n = -(-len(keep) // LIST)
+        lists = Directions(of(np.sort(rng.permutation(len(keep))[: 16 * n])), n, 1, rng)
+        chunks = [np.arange(a, min(a + BLOCK, len(keep))) for a in range(0, len(keep), BLOCK)]
+        place, centroids = np.empty(len(keep), np.int64), np.zeros((n, dim), np.float32)
+        for at in chunks:
+            x = of(at)
+            place[at] = lists.nearest(x, 1)[0][:, 0]
+            got, mean = _means(x, place[at])
+            centroids[got] += mean * np.bincount(place[at], minlength=n)[got, None]
+        centroids /= np.maximum(np.bincount(place, minlength=n), 1)[:, None]
+        codes, (scale, shift) = np.empty((quant.parts, len(keep)), np.uint8), np.empty((2, len(keep)), np.float32)
+        for at in chunks:
+            c, scale[at], shift[at] = quant.encode(of(at), centroids[place[at]])
+            codes[:, at] = c.T
+        mine, by_list = np.nonzero(own)[0], np.argsort(place, kind="stable")
+        mine = mine[np.argsort(place[mine], kind="stable")]
+        starts = np.searchsorted(place[by_list], np.arange(n + 1))
+
+        def block(q, qi, w, m, lut, middle, best) -> np.ndarray:
+            """Exact cosines of queries w and members m, -1 for pairs that the estimates rule out."""
+            c = codes[:, m]
+            est = lut[0][w].take(c[0], axis=1)
+            for p in range(1, quant.parts):
+                est += lut[p][w].take(c[p], axis=1)
+            est *= scale[m]
+            est += shift[m]
+            est += middle[w][:, None]
+            self_ = qi[w][:, None] == m
+            est[self_] = -1
+            floor = np.maximum(least, best[w].min(1)) - SLACK
+            if len(m) > k:
+                floor = np.maximum(floor, np.minimum(-np.partition(-est, k - 1, axis=1)[:, k - 1], 1) - 2 * SLACK)
+            near = est >= floor[:, None]
+            if near.sum() > DENSE * near.size:
+                exact = q[w] @ of(m).T
+                exact[self_] = -1
+                return exact
+            exact = np.full(est.shape, -1.0, np.float32)
+            i, j = np.nonzero(near)
+            for x in range(0, len(i), 4096):
+                s = slice(x, x + 4096)
+                exact[i[s], j[s]] = np.einsum("ij,ij->i", q[w[i[s]]], of(m[j[s]]), dtype=np.float64)
+            return exact
+
+        for a in range(0, len(mine), BLOCK):
+            qi = mine[a : a + BLOCK]
             q = of(qi)
             lut = quant.tables(q)
-            above, below = q @ quant.upper[cells].T, q @ quant.lower[homes].T
-            members = np.arange(len(keep))
-            if not single:
-                wanted = np.unique(quant.near_lists(quant.directed(q), here.repeat(len(q)), LISTS))
-                members = np.concatenate([np.arange(x, y) for x, y in zip(np.searchsorted(place, wanted), np.searchsorted(place, wanted, side="right"))])
+            middles = q @ centroids.T
+            # The queries of each list that is looked into.
+            to = lists.nearest(q, LISTS)[0]
+            asks = np.argsort(to, axis=None, kind="stable")
+            work = [(no, w // to.shape[1]) for no, w in zip(*_runs(to.ravel()[asks], asks))]
             got: list[tuple] = []
             best = np.full((len(qi), k), -1.0, np.float32)  # exact, of the members so far
-            for b in range(0, len(members), 2048):
-                m = members[b : b + 2048]
-                c = codes[m]
-                est = lut[0].take(c[:, 0], axis=1)
-                for p in range(1, quant.parts):
-                    est += lut[p].take(c[:, p], axis=1)
-                est *= scale[m]
-                est += above[:, upper[m]] + below[:, lower[m]] + shift[m]
-                self_ = qi[:, None] == m
-                est[self_] = -1
-                floor = np.maximum(least, best.min(1)) - SLACK
-                if len(m) > k:
-                    floor = np.maximum(floor, np.minimum(-np.partition(-est, k - 1, axis=1)[:, k - 1], 1) - 2 * SLACK)
-                near = est >= floor[:, None]
-                exact = np.full(est.shape, -1.0, np.float32)
-                if near.sum() > DENSE * near.size:
-                    exact = q @ of(m).T
-                    exact[self_] = -1
-                else:
-                    i, j = np.nonzero(near)
-                    for x in range(0, len(i), 4096):
-                        s = slice(x, x + 4096)
-                        exact[i[s], j[s]] = np.einsum("ij,ij->i", q[i[s]], of(m[j[s]]), dtype=np.float64)
-                all_ = np.concatenate([best, exact], axis=1)
-                best = -np.partition(-all_, k - 1, axis=1)[:, :k]
-                i, j = np.nonzero(exact >= np.maximum(least, best.min(1) - TIE)[:, None])
-                got.append((i, m[j], exact[i, j]))
+            for no, who in work:
+                members = by_list[starts[no] : starts[no + 1]]
+                for x in range(0, len(who), 512):
+                    w = who[x : x + 512]
+                    for b in range(0, len(members), 2048):
+                        m = members[b : b + 2048]
+                        cos = block(q, qi, w, m, lut, middles[:, no], best)
+                        best[w] = -np.partition(-np.concatenate([best[w], cos], axis=1), k - 1, axis=1)[:, :k]
+                        i, j = np.nonzero(cos >= np.maximum(least, best[w].min(1) - TIE)[:, None])
+                        got.append((w[i], m[j], cos[i, j]))
+            if not got:
+                continue
             i, j, cos = (np.concatenate(v) for v in zip(*got))
             ok = cos >= best.min(1)[i] - TIE
             i, j, cos = qi[i[ok]], j[ok], cos[ok].astype(np.float64)
@@ -359,17 +391,11 @@ def _hashed(df: DataFrame, key: str, vector: str, dim: int) -> DataFrame:
     return t.select("id", F.xxhash64("v").alias("ha"), F.xxhash64(F.lit(17), "v").alias("hb"), "v")
 
 
-def _levels(rows: int) -> tuple[int, int]:
-    """Cells, and lists a cell, for so many rows."""
-    lists = max(1, round((rows / LIST) ** 0.5))
-    return max(1, -(-rows // (LIST * lists))), lists
-
-
 def _fit(df: DataFrame, vector: str, dim: int, rows: int) -> Quantizer | None:
     """Fitted in one task, from a bounded sample; the driver gets the model only."""
     t = df.select(F.col(vector).alias("v")).where(F.size("v") == dim)
-    cells, lists = _levels(rows)
-    most = min(MOST_TRAIN, max(TRAIN, 6 * cells, 6 * lists))
+    cells = max(1, round((rows / LIST) ** 0.5))
+    most = min(MOST_TRAIN, max(TRAIN, 6 * 4 * cells))
     if rows > most:
         t = t.sample(False, min(1.0, 1.05 * most / rows), 5)
 
@@ -378,8 +404,7 @@ def _fit(df: DataFrame, vector: str, dim: int, rows: int) -> Quantizer | None:
         x = np.concatenate([v[ok] for v, ok in parts]) if parts else np.zeros((0, dim), np.float32)
         del parts
         if len(x):
-            fits = max(1, len(x) // 6)
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Quantizer(x, min(cells, fits), min(lists, fits)))], pa.binary())], names=["model"])
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Quantizer(x, cells, rows))], pa.binary())], names=["model"])
 
     got = t.limit(most).coalesce(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(got[0][0]) if got else None
@@ -397,8 +422,8 @@ def near_classes(df: DataFrame, key: str, vector: str, dim: int, k: int, least:
     kind = dict(t.dtypes)["id"]
     if quant is None:
         return spark.createDataFrame([], f"id {kind}, ha bigint, hb bigint"), spark.createDataFrame([], "ha bigint, hb bigint, oa bigint, ob bigint, cos double")
-    lists = t.select("ha", "hb", "v").mapInArrow(_index(quant, dim, Units(quant, rows)), _UNIT_SCHEMA)
-    lists = lists.repartition("unit").sortWithinPartitions("unit", "place", "ha", "hb")
+    lists = t.select("ha", "hb", "v").mapInArrow(_index(quant, dim), _UNIT_SCHEMA)
+    lists = lists.repartition("unit").sortWithinPartitions("unit", "ha", "hb")
     near = lists.mapInArrow(_search(quant, dim, k, least), "ha bigint, hb bigint, oa bigint, ob bigint, cos double")
     good = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("v", lambda x: x != 0)

@@ -70,7 +70,11 @@ def test_packing_loses_nothing():
     assert (neighbours._unpack(packed, 300, zstandard.ZstdDecompressor()) == x).all() and len(packed[3]) < len(packed[0]) / 3
 
 
-def test_lists_grow_with_the_rows():
-    for n in (1, 100, 10_000, 1_000_000, 10**9):
-        cells, lists = neighbours._levels(n)
-        assert 0.5 * n / neighbours.LIST <= cells * lists <= 2 * n / neighbours.LIST + 2
+def test_crowded_cells_are_split():
+    rng = np.random.default_rng(5)
+    x = neighbours._unit(np.concatenate([rng.normal(size=(600, 16)), 3 + 0.5 * rng.normal(size=(1400, 16))]).astype(np.float32))[0]
+    quant = neighbours.Quantizer(x, 20, 10**7)
+    i, unit = quant.units(x)
+    assert set(i.tolist()) == set(range(2000)) and unit.max() < len(quant.blocks)
+    one = neighbours.Quantizer(np.tile(x[:1], (2000, 1)), 20, 10**7)
+    assert one.blocks.sum() > len(one.cells.centres)  # what can't be split has blocks of queries
