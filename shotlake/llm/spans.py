@@ -7,18 +7,20 @@ in common.
    hashed ``GRAM``-grams in it (an anchor); equal windows have equal owners at the same offset. An
    anchor, with the run of windows that it owns, is one row: about one for 29 code points.
 2. Anchors are brought together by hash. Those of one document only are dropped: no window that they
-   own can be shared. This loses nothing and decides nothing.
+   own can be shared. This loses nothing; it decides what is indexed, not what is found.
 3. The windows of each remaining anchor, a snippet of at most ``2 * length - GRAM`` code points and the
    one before, are cut out of the texts. Where all snippets of an anchor are equal, the window one to
    the left is shared too, so the anchor before it finds the same documents: only snippets of anchors
-   with different ones, or at the start of a text, stay. Equal snippets are held once.
-4. Per shard of anchors an FM-index of the snippets is built, and the snippets are streamed through it
-   by backward search in lockstep. From the anchor leftwards, the matching statistics drop where a
+   with different ones, or at the start of a text, stay. Equal snippets are held once, and in the index
+   twice if several documents have them, so that each shares its windows with another.
+4. Per shard of anchors a compressed FM-index of the snippets is built, and the documents' snippets are streamed through
+   it by backward search in lockstep. From the anchor leftwards, the matching statistics drop where a
    partner is lost; windows beginning there decide, and the suffix intervals of those of the full
-   length give the partners.
+   length give the partners. All rows come from these intervals, those of equal snippets too.
 
 A shard holds a bounded number of code points; an anchor with more snippets than that is worked on in
-pairs of blocks, so a hot anchor is spread over tasks. Texts that are exact copies of more than
+pairs of blocks, so a hot anchor is spread over tasks. A snippet's documents meet in blocks of about ``HOLDERS``, and pairs
+of blocks are spread before they are written out as pairs of documents. Texts that are exact copies of more than
 ``MANY_COPIES`` documents are represented by the least document, with one link from it to each copy.
 Null texts and texts shorter than ``length`` give no row, a document isn't its own partner, and a
 document delivered twice counts once.
@@ -30,10 +32,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shotlake.llm.fm import FMIndex
+from shotlake.llm.fm import FMIndex, code_points
 from shotlake.operators.dyadic import periods
 from shotlake.plans.lineage import cut
 
@@ -42,6 +44,8 @@ GRAM = 48
 CHUNK, SHARD = 1_000_000, 300_000
 #: Snippets of one anchor in one block.
 BLOCK = 2000
+#: Documents of one snippet in one block.
+HOLDERS = 1000
 MANY_COPIES = 1000
 
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -155,49 +159,69 @@ def _cut_snippets(length: int):
     return run
 
 
+def _others(index: FMIndex, entry: np.ndarray, a: np.ndarray, at: np.ndarray, size: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(a, b, at, size) for the snippets b in each suffix interval of a's stretches; a itself where it is there twice."""
+    iv, e = index.strings_at(lo, hi)
+    a, b = a[iv], entry[e]
+    twice = np.bincount(entry, minlength=int(entry.max()) + 1) > 1
+    keep = (a != b) | twice[a]
+    return a[keep], b[keep], at[iv][keep], size[iv][keep]
+
+
 def _search(length: int, every: bool):
-    """Over rows sorted by shard: pairs of snippets (a, b) that share a window; or (a, b, offset) of every such window of a."""
+    """Over rows sorted by shard: pairs of snippets (a, b) that share a window; or (a, b, at, size) of the shared stretches of a.
+
+    A snippet of several documents is its own partner.
+    """
 
     def flush(rows: list[tuple]) -> pa.RecordBatch | None:
-        if len(rows) < 2 or not any(r[4] for r in rows):
+        entry = np.array([k for k, r in enumerate(rows) for _ in range(2 if r[5] else 1)])
+        if len(entry) < 2 or not any(r[4] for r in rows):
             return None
-        ids, snips, leads, anch, queries = zip(*rows)
-        index = FMIndex([np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32) for x in snips])
-        size, lead, p = np.array([len(x) for x in snips]), np.array(leads), np.array(anch)
+        ids, snips, leads, anch, queries, _ = zip(*rows)
+        points = [code_points(x) for x in snips]
+        index = FMIndex([points[k] for k in entry])
+        size, lead, p = np.array([len(x) for x in points]), np.array(leads, np.int64), np.array(anch, np.int64)
+        first = np.r_[0, np.cumsum(size)]
+        text = index.codes(np.concatenate(points))
         mine = np.nonzero(np.array(queries))[0]
         if every:
-            n = size[mine] - length - lead[mine] + 1
-            s = np.repeat(mine, n)
+            # Snippets that others have as a whole, and every window of those that none has.
+            q, _, lo, hi, whole = index.walk(text, first[mine + 1], first[mine] + lead[mine])
+            q, lo, hi = q[whole], lo[whole], hi[whole]
+            found = [_others(index, entry, mine[q], lead[mine[q]], size[mine[q]] - lead[mine[q]], lo, hi)]
+            rest = np.setdiff1d(mine, mine[q])
+            n = size[rest] - length - lead[rest] + 1
+            s = np.repeat(rest, n)
             at = np.arange(len(s)) - np.repeat(np.cumsum(n) - n, n) + lead[s]
         else:
-            q, at = index.starts_of(mine, p[mine] + GRAM, lead[mine])
-            s = mine[q]
+            q, start, _, _, _ = index.walk(text, first[mine] + p[mine] + GRAM, first[mine] + lead[mine])
+            s, at, found = mine[q], start - first[mine[q]], []
             fits = at + length <= size[s]
             s, at = s[fits], at[fits]
-        q, lo, hi = index.window(s, at, length)
-        iv, other = index.strings_at(lo, hi)
-        a, o = s[q[iv]], at[q[iv]]
-        keep = a != other
-        cols = [a[keep], other[keep]] + ([o[keep]] if every else [])
-        if not keep.any():
+        q, lo, hi = index.window(text, first[s] + at, length)
+        found.append(_others(index, entry, s[q], at[q], np.full(len(q), length), lo, hi))
+        a, b, at, n = (np.concatenate(x) for x in zip(*found))
+        if not len(a):
             return None
-        found = np.unique(np.stack(cols), axis=1)
+        if not every:
+            at, n = np.zeros_like(at), np.zeros_like(n)
+        a, b, at, n = np.unique(np.stack([a, b, at, n]), axis=1)
         take = pa.array(ids)
-        arrays = [take.take(pa.array(found[0])), take.take(pa.array(found[1])), pa.array(found[2] if every else np.zeros(found.shape[1], np.int64)).cast(pa.int32())]
-        return pa.RecordBatch.from_arrays(arrays, names=["a", "b", "at"])
+        return pa.RecordBatch.from_arrays([take.take(pa.array(a)), take.take(pa.array(b)), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], names=["a", "b", "at", "size"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         chars, last = 0, None
         for b in batches:
-            c = [b.column(i).to_pylist() for i in range(6)]
-            for work, sid, snip, lead, anchor, query in zip(*c):
+            c = [b.column(i).to_pylist() for i in range(7)]
+            for work, sid, snip, lead, anchor, query, several in zip(*c):
                 if work != last and chars >= SHARD:
                     if (r := flush(rows)) is not None:
                         yield r
                     rows, chars = [], 0
                 last = work
-                rows.append((sid, snip, lead, anchor, query))
+                rows.append((sid, snip, lead, anchor, query, several))
                 chars += len(snip)
         if (r := flush(rows)) is not None:
             yield r
@@ -208,29 +232,32 @@ def _search(length: int, every: bool):
 def _members(docs: DataFrame, length: int) -> DataFrame:
     """fp, doc, start, lead, anchor, snip, sid of the snippets of anchors that more than one document has."""
     kind = dict(docs.dtypes)["doc"]
-    found = docs.mapInArrow(_find_anchors(length), f"fp bigint, doc {kind}, span bigint")
-    w = Window.partitionBy("fp")
-    both = found.withColumn("lo", F.min("doc").over(w)).withColumn("hi", F.max("doc").over(w)).where("lo <> hi")
+    # One exchange of anchors serves their documents' bounds and the choice of those that two have.
+    found = docs.mapInArrow(_find_anchors(length), f"fp bigint, doc {kind}, span bigint").repartition("fp")
+    some = found.groupBy("fp").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("fp")
+    both = found.join(some.hint("shuffle_hash"), "fp", "left_semi")
     mine = both.groupBy("doc").agg(F.collect_set(F.struct("fp", "span")).alias("x")).select("doc", F.col("x.fp").alias("fp"), F.col("x.span").alias("span"))
     t = docs.join(mine, "doc").select("doc", "text", "fp", "span")
     t = t.mapInArrow(_cut_snippets(length), f"fp bigint, doc {kind}, start bigint, lead int, anchor int, snip string")
     return t.withColumn("sid", F.md5(F.concat_ws("|", "fp", "lead", "anchor", "snip"))).distinct()
 
 
-def _index_work(kinds: DataFrame) -> DataFrame:
-    """work, sid, snip, lead, anchor, query: what each shard indexes (all) and searches (query).
+def _kinds(members: DataFrame) -> DataFrame:
+    """fp, sid, snip, lead, anchor, n (documents), k (different snippets of the anchor)."""
+    kinds = members.groupBy("fp", "sid", "snip", "lead", "anchor").agg(F.count_distinct("doc").alias("n"))
+    return kinds.join(kinds.groupBy("fp").agg(F.count("*").alias("k")), "fp")
 
-    kinds: fp, sid, snip, lead, anchor of different snippets.
-    """
-    w = Window.partitionBy("fp")
-    n = F.ceil(F.count("*").over(w) / BLOCK).cast("int")
-    t = kinds.withColumn("blocks", n).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+
+def _index_work(kinds: DataFrame) -> DataFrame:
+    """work, sid, snip, lead, anchor, query, several: what each shard indexes (all) and searches (query)."""
+    t = kinds.withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int")).withColumn("several", F.col("n") > 1)
+    t = t.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     # Block i is searched in the index of the blocks i and j, for each j; one block, the usual case, stays one row.
     t = t.withColumn("j", F.explode(F.expr("if(blocks = 1, array(0), sequence(0, blocks - 1))")))
-    own = t.select("fp", F.col("block").alias("i"), F.col("j"), "sid", "snip", "lead", "anchor", F.lit(True).alias("query"))
-    theirs = t.where("blocks > 1 and j <> block").select("fp", F.col("j").alias("i"), F.col("block").alias("j"), "sid", "snip", "lead", "anchor", F.lit(False).alias("query"))
+    own = t.select("fp", F.col("block").alias("i"), F.col("j"), "sid", "snip", "lead", "anchor", F.lit(True).alias("query"), "several")
+    theirs = t.where("blocks > 1 and j <> block").select("fp", F.col("j").alias("i"), F.col("block").alias("j"), "sid", "snip", "lead", "anchor", F.lit(False).alias("query"), "several")
     every = own.unionByName(theirs).withColumn("work", F.xxhash64("fp", "i", "j"))
-    return every.select("work", "sid", "snip", "lead", "anchor", "query").repartition("work").sortWithinPartitions("work")
+    return every.select("work", "sid", "snip", "lead", "anchor", "query", "several").repartition("work").sortWithinPartitions("work")
 
 
 def _prepare(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
@@ -253,14 +280,13 @@ def shared_pairs(docs: DataFrame, key: str, text: str, length: int = 100) -> Dat
     t, links = _copies(_prepare(docs, key, text, length))
     members = cut(_members(t, length))
     # Anchors with different snippets, or with one at the start of a text that several documents have.
-    kinds = members.groupBy("fp", "sid", "snip", "lead", "anchor").agg(F.count_distinct("doc").alias("n"))
-    w = Window.partitionBy("fp")
-    kinds = kinds.withColumn("k", F.count("*").over(w)).where("k > 1 or (lead = 0 and n > 1)")
-    found = _index_work(kinds).mapInArrow(_search(length, False), "a string, b string, at int").select("a", "b")
-    same = kinds.where("n > 1").select(F.col("sid").alias("a"), F.col("sid").alias("b"))
-    m = members.select("sid", "doc")
-    pairs = found.unionByName(same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    p = pairs.join(m.select(F.col("sid").alias("a"), F.col("doc").alias("da")), "a").join(m.select(F.col("sid").alias("b"), F.col("doc").alias("db")), "b")
+    kinds = _kinds(members).where("k > 1 or (lead = 0 and n > 1)")
+    found = _index_work(kinds).mapInArrow(_search(length, False), "a string, b string, at int, size int").select("a", "b")
+    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    m = members.select("sid", "doc").join(kinds.select("sid", F.ceil(F.col("n") / HOLDERS).alias("blocks")), "sid")
+    m = m.groupBy("sid", F.pmod(F.xxhash64("doc"), F.col("blocks")).alias("block")).agg(F.collect_set("doc").alias("docs"))
+    p = pairs.join(m.select(F.col("sid").alias("a"), F.col("block").alias("i"), F.col("docs").alias("da")), "a").join(m.select(F.col("sid").alias("b"), F.col("block").alias("j"), F.col("docs").alias("db")), "b")
+    p = p.where("a <> b or i <= j").repartition("a", "b", "i", "j").select(F.explode("da").alias("da"), "db").select("da", F.explode("db").alias("db"))
     p = p.where("da <> db").select(F.least("da", "db").alias("doc_id_a"), F.greatest("da", "db").alias("doc_id_b"))
     if links is not None:
         p = p.unionByName(links.select(F.col("least").alias("doc_id_a"), F.col("doc").alias("doc_id_b")))
@@ -274,15 +300,12 @@ def shared_share(docs: DataFrame, key: str, text: str, length: int = 100) -> Dat
     """
     t, links = _copies(_prepare(docs, key, text, length))
     members = cut(_members(t, length))
-    kinds = members.groupBy("fp", "sid", "snip", "lead", "anchor").agg(F.count_distinct("doc").alias("n"))
-    w = Window.partitionBy("fp")
-    kinds = kinds.withColumn("k", F.count("*").over(w))
-    found = _index_work(kinds.where("k > 1").select("fp", "sid", "snip", "lead", "anchor")).mapInArrow(_search(length, True), "a string, b string, at int")
+    kinds = _kinds(members).where("k > 1 or n > 1")
+    found = _index_work(kinds).mapInArrow(_search(length, True), "a string, b string, at int, size int")
     one = members.groupBy("sid").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-    hits = found.join(one.select(F.col("sid").alias("b"), "lo", "hi"), "b").join(members.select(F.col("sid").alias("a"), "doc", "start"), "a")
-    hits = hits.where("doc <> lo or doc <> hi").select("doc", (F.col("start") + F.col("at")).alias("s"), (F.col("start") + F.col("at") + length).alias("e"))
-    whole = members.join(kinds.where("n > 1").select("sid"), "sid", "left_semi").select("doc", (F.col("start") + F.col("lead")).alias("s"), (F.col("start") + F.length("snip")).alias("e"))
-    every = hits.unionByName(whole).distinct()
+    hits = found.join(one.select(F.col("sid").alias("b"), "lo", "hi"), "b").groupBy("a", "at", "size").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    hits = hits.join(members.select(F.col("sid").alias("a"), "doc", "start"), "a").where("doc <> lo or doc <> hi")
+    every = hits.select("doc", (F.col("start") + F.col("at")).alias("s"), (F.col("start") + F.col("at") + F.col("size")).alias("e")).distinct()
     cover = periods(every, ["doc"], "s", "e").groupBy("doc").agg(F.sum(F.col("end_ms") - F.col("start_ms")).alias("n_shared"))
     n = docs.select(F.col(key).alias("doc"), F.length(text).alias("n_chars")).where("n_chars is not null and doc is not null").distinct()
     out = n.join(cover, "doc", "left")

@@ -74,7 +74,28 @@ def test_backward_search():
     rnd = random.Random(3)
     strings = ["".join(rnd.choice("abcd") for _ in range(60)) for _ in range(40)]
     ix = FMIndex([np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in strings])
+    text = ix.codes(np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32))
     for n in (1, 3, 6):
-        q, lo, hi = ix.window(np.arange(40), np.full(40, 5), n)
+        q, lo, hi = ix.window(text, 60 * np.arange(40) + 5, n)
+        iv, who = ix.strings_at(lo, hi)
+        for k, a in enumerate(q.tolist()):
+            assert sorted(who[iv == k].tolist()) == sorted(i for i, s in enumerate(strings) for x in range(len(s) - n + 1) if s[x : x + n] == strings[a][5 : 5 + n])
         count = {i: sum(s[a : a + n] == strings[i][5 : 5 + n] for s in strings for a in range(len(s) - n + 1)) for i in range(40)}
         assert {int(a): int(c) for a, c in zip(q, hi - lo)} == {i: c for i, c in count.items() if c > 1}
+
+
+def test_index_is_compressed_and_knows_no_foreign_signs():
+    rnd = random.Random(4)
+    strings = ["".join(rnd.choice("abcdefgh") for _ in range(500)) for _ in range(60)]
+    ix = FMIndex([np.frombuffer(s.encode("utf-32-le"), np.uint32) for s in strings])
+    held = sum(a.nbytes for a in (*ix.words, *ix.before, *ix.kept, ix.positions, ix.count, ix.base))
+    assert held < 2 * ix.n  # of 4 bytes a code point and 8 a suffix
+    text = ix.codes(np.frombuffer(("xyz" + strings[3][:40]).encode("utf-32-le"), np.uint32))
+    assert (text[:3] == -1).all() and ix.window(text, np.array([1]), 30)[0].size == 0
+
+
+def test_many_holders_of_one_passage(spark, monkeypatch):
+    monkeypatch.setattr(spans, "HOLDERS", 4)
+    docs = [(k, f"{k:03d}" * 9 + "chung một đoạn dài " * 8 + ("x" * 30 if k % 2 else f"{k:04d}" * 9)) for k in range(30)]
+    df = spark.createDataFrame(docs, "k long, t string")
+    assert {tuple(r) for r in spans.shared_pairs(df, "k", "t").collect()} == brute(docs, 100)[0]
