@@ -2,12 +2,13 @@
 
 Two sources of evidence are combined for every text that doesn't end in a full stop.
 
-Length. Per source, the lengths (code points, and bytes) are fitted by maximum likelihood with a
-log-normal distribution that is right-censored at candidate limits: values without a final stop that
-stand at a candidate limit count as "this long or longer". A length is a candidate limit where open
-texts pile up far beyond their neighbours and the fit; below a limit that is kept by cutting at a blank
-they outnumber the closed ones of like length. The censoring posterior of a value there is the
-share of the pile that the fitted density doesn't explain. Elsewhere texts may have been cut in
+Length. Per source, the lengths (code points, and bytes) are fitted by maximum likelihood with a mixture of
+``PARTS`` log-normal distributions that is right-censored at candidate limits: texts cut there count as "this long
+or longer". From the fit follows how many texts without a final stop should stand at a length; where
+significantly more do, at one length or in ``2 * NEAR + 1`` neighbours (a limit that is kept by cutting at the last blank
+before it spreads its texts below), that is a candidate limit, and the censoring posterior of a text there is the
+share of them that the fitted density doesn't explain. These are the censored counts of the next fit, until the candidates
+stay as they are. Elsewhere texts may have been cut in
 transfer: the share of such texts among the open ones is estimated per source by expectation
 maximisation over the ending evidence, apart for texts with and without a mark of the cut.
 
@@ -39,6 +40,8 @@ from shotlake.plans.lineage import cut
 
 #: Texts that the ending model is fitted on, at most; the corpus statistics use all rows.
 TRAIN = 8000
+#: Log-normal distributions of a source's lengths; neighbours on either side that share a limit; how surely (log-likelihood ratio) a pile is none of the fit's.
+PARTS, NEAR, SURE = 5, 3, 12.0
 #: Frequent words that make the frame of a sentence.
 FRAME = 80
 BITS = 18
@@ -157,77 +160,89 @@ def _upper(z: np.ndarray) -> np.ndarray:
     return np.clip(np.where(z >= 0, p, 1 - p), 1e-12, 1)
 
 
-def fit_censored(length: np.ndarray, exact: np.ndarray, censored: np.ndarray) -> tuple[float, float]:
-    """mu, sigma of the log-normal that maximises the likelihood of exact and right-censored counts by length (EM)."""
+def fit_mixture(length: np.ndarray, exact: np.ndarray, censored: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """share, mu, sigma of the log-normals whose mixture maximises the likelihood of exact and right-censored counts by length (EM)."""
     x = np.log(np.maximum(length, 1).astype(float))
-    n = exact.sum() + censored.sum()
-    if not n:
-        return 0.0, 1.0
-    mu = float((x * (exact + censored)).sum() / n)
-    sd = max(0.05, float(np.sqrt(((x - mu) ** 2 * (exact + censored)).sum() / n)))
-    for _ in range(50):
-        z = (x - mu) / sd
-        ratio = _phi(z) / _upper(z)
+    n = exact + censored
+    total = n.sum()
+    if not total:
+        return np.full(parts, 1 / parts), np.zeros(parts), np.ones(parts)
+    order = np.argsort(x, kind="stable")
+    mu = x[order][np.minimum(np.searchsorted(np.cumsum(n[order]) / total, (np.arange(parts) + 0.5) / parts), len(x) - 1)]
+    mean = (x * n).sum() / total
+    sd = np.full(parts, max(0.05, float(np.sqrt(((x - mean) ** 2 * n).sum() / total)) / (1 if parts == 1 else 2)))
+    share = np.full(parts, 1 / parts)
+    for _ in range(50 if parts == 1 else 100):
+        z = (x[:, None] - mu) / sd
+        phi, tail = _phi(z), _upper(z)
+        a = share * phi / sd + 1e-300
+        b = share * tail
+        a *= exact[:, None] / a.sum(1, keepdims=True)
+        b *= censored[:, None] / np.maximum(b.sum(1, keepdims=True), 1e-300)
+        ratio = phi / tail
         m1 = mu + sd * ratio
-        m2 = mu * mu + sd * sd + sd * (x + mu) * ratio
-        mean = float((exact * x + censored * m1).sum() / n)
-        sd = max(0.05, float(np.sqrt(max(1e-9, (exact * x * x + censored * m2).sum() / n - mean * mean))))
-        mu = mean
-    return mu, sd
-
-
-def find_limits(length: np.ndarray, every: np.ndarray, open_: np.ndarray) -> list[tuple[int, float]]:
-    """(limit, censoring posterior of an open value there) of one source's histogram of lengths."""
-    n = np.zeros(int(length.max()) + 12, float)
-    n[length] = open_
-    near = np.array([np.median(np.r_[n[max(0, v - 6) : v], n[v + 1 : v + 7]]) for v in length])
-    candidate = (open_ >= 6) & (open_ > 4 * (near + 1))
-    cens = np.where(candidate, np.maximum(open_ - near, 0), 0)
-    out: list[tuple[int, float]] = []
-    if candidate.any():
-        mu, sd = fit_censored(length, every - cens, cens)
-        z = (np.log(np.maximum(length, 1)) - mu) / sd
-        density = _phi(z) / (sd * np.maximum(length, 1))
-        # Of the texts that end here by themselves, those without a stop.
-        free = ~candidate
-        share = open_[free].sum() / max(1, every[free].sum())
-        expected = every.sum() * density * share
-        post = np.clip(1 - np.minimum(expected, near + 1) / np.maximum(open_, 1), 0, 0.995)
-        out = [(int(v), float(p)) for v, p, c in zip(length, post, candidate) if c and p > 0.5]
-    return out
+        m2 = mu * mu + sd * sd + sd * (x[:, None] + mu) * ratio
+        weight = np.maximum((a + b).sum(0), 1e-9)
+        mu = (a * x[:, None] + b * m1).sum(0) / weight
+        sd = np.maximum(0.05, np.sqrt(np.maximum(1e-9, (a * x[:, None] ** 2 + b * m2).sum(0) / weight - mu * mu)))
+        share = weight / weight.sum()
+    return share, mu, sd
+
+
+def fit_censored(length: np.ndarray, exact: np.ndarray, censored: np.ndarray) -> tuple[float, float]:
+    """mu, sigma of the one log-normal that maximises the likelihood."""
+    _, mu, sd = fit_mixture(length, exact, censored, 1)
+    return float(mu[0]), float(sd[0])
+
 
+def _piled(observed: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """Posterior of an observed value to be none of those expected, 0 unless the excess is significant."""
+    surely = observed * np.log(np.maximum(observed, 1e-9) / expected) - (observed - expected) > SURE
+    return np.where(surely & (observed > expected), np.clip(1 - expected / np.maximum(observed, 1e-9), 0, 0.995), 0)
 
-def find_piles(length: np.ndarray, closed: np.ndarray, open_: np.ndarray) -> list[tuple[int, float]]:
-    """(length, posterior) where open texts outnumber the closed ones of like length by more than is usual for the source.
 
-    A cut at the last blank before a limit leaves lengths spread below it. Open texts at limits don't count here.
-    """
-    n, shut = np.zeros(int(length.max()) + 5), np.zeros(int(length.max()) + 5)
-    n[length], shut[length] = open_, closed
-    o, c = (np.convolve(x, np.ones(7), "same")[length] for x in (n, shut))
-    if not c.sum():
+def find_limits(length: np.ndarray, closed: np.ndarray, open_: np.ndarray, spread: bool) -> list[tuple[int, float]]:
+    """(length, censoring posterior of an open value there) of one source's histogram, ``spread``: also of limits kept at blanks."""
+    if not closed.sum() or not open_.sum():
         return []
-    ratio = o / np.maximum(c, 1)
-    order = np.argsort(ratio, kind="stable")
-    total = np.cumsum(c[order])
-    expected = float(ratio[order][np.searchsorted(total, total[-1] / 2)]) * c
-    found = (o - expected > 4 * np.sqrt(expected + 1) + 4) & (open_ > 0)
-    return [(int(v), float(p)) for v, p, f in zip(length, np.minimum(1 - expected / np.maximum(o, 1), 0.95), found) if f and p > 0.5]
+    place = length - length.min()
+    around = np.ones(2 * NEAR + 1)
+
+    def near(v: np.ndarray) -> np.ndarray:
+        full = np.zeros(int(place.max()) + 1)
+        full[place] = v
+        return np.convolve(full, around, "full")[NEAR : NEAR + len(full)][place]
+
+    post = np.zeros(len(length))
+    for _ in range(6):
+        exact, censored = closed + open_ * (1 - post), open_ * post
+        share, mu, sd = fit_mixture(length, exact, censored, PARTS)
+        z = (np.log(np.maximum(length, 1))[:, None] - mu) / sd
+        density = (share * _phi(z) / sd).sum(1) / np.maximum(length, 1)
+        # Of the texts that end by themselves, those without a stop.
+        expected = (exact.sum() + censored.sum()) * density * (open_ * (1 - post)).sum() / exact.sum() + 1e-6
+        new = np.where(open_ >= 6, _piled(open_, expected), 0)
+        if spread:
+            rest = np.where(new > 0.5, 0, open_)
+            wide = np.minimum(_piled(near(rest), near(np.where(new > 0.5, 0, expected)) + 1e-6), 0.95)
+            new = np.where(new > 0.5, new, wide)
+        new = np.where((new > 0.5) & (open_ > 0), new, 0)
+        same = ((new > 0) == (post > 0)).all()
+        post = new
+        if same:
+            break
+    return [(int(v), float(p)) for v, p in zip(length, post) if p > 0]
 
 
 def _limits(pdf: pd.DataFrame) -> pd.DataFrame:
     rows = []
     for measure, t in pdf.groupby("measure"):
-        rows += [(pdf["src"].iloc[0], measure, *x) for x in find_limits(t["len"].to_numpy(), t["n"].to_numpy(float), t["n_open"].to_numpy(float))]
+        t = t.sort_values("len")
+        n_open = t["n_open"].to_numpy(float)
+        rows += [(pdf["src"].iloc[0], measure, *x) for x in find_limits(t["len"].to_numpy(), t["n"].to_numpy(float) - n_open, n_open, measure == "chars")]
     return pd.DataFrame(rows, columns=["src", "measure", "len", "post"])
 
 
-def _piles(pdf: pd.DataFrame) -> pd.DataFrame:
-    t = pdf.sort_values("chars")
-    found = find_piles(t["chars"].to_numpy(), t["closed"].to_numpy(float), t["open"].to_numpy(float))
-    return pd.DataFrame([(pdf["src"].iloc[0], *x) for x in found], columns=["src", "chars", "pile"])
-
-
 def _rates(pdf: pd.DataFrame) -> pd.DataFrame:
     """Share of cut texts among a source's open texts of one kind of mark, by EM over the binned ending evidence."""
     rows = []
@@ -261,13 +276,17 @@ def _texts(df: DataFrame, key: str, source: str, text: str) -> DataFrame:
     return t.where(F.trim(F.regexp_replace("text", "\\s+", " ")) != "").select("id", "src", "text", canonical_col(F.col("text")).alias("canon"))
 
 
-def _posteriors(t: DataFrame) -> DataFrame:
-    """id, src, posterior of the open texts."""
+def _measured(t: DataFrame) -> DataFrame:
+    """id, src, canon, open, chars, bytes of the texts, each brought to its form once."""
     open_ = ~F.col("canon").rlike(_CLOSED) | F.col("canon").rlike("\\.\\.+\\s*$")
-    t = t.withColumn("open", open_)
     # What half a character was is lost; it stood for one byte at least of the limit's.
     whole = F.regexp_replace("text", "�+$", "")
-    t = t.withColumn("chars", F.length("text")).withColumn("bytes", F.octet_length(whole) + F.when(F.length(whole) < F.length("text"), 1).otherwise(0))
+    size = F.octet_length(whole) + F.when(F.length(whole) < F.length("text"), 1).otherwise(0)
+    return cut(t.select("id", "src", "canon", open_.alias("open"), F.length("text").alias("chars"), size.alias("bytes")))
+
+
+def _posteriors(t: DataFrame) -> DataFrame:
+    """id, src, posterior of the open texts of t, as measured."""
     closed = t.where(~F.col("open")).select("canon")
     counts = cut(word_counts(closed))
     n = next((r["n"] for r in counts.where("word = ''").collect()), 0)
@@ -290,10 +309,6 @@ def _posteriors(t: DataFrame) -> DataFrame:
     limits = cut(limits)
     at = lambda m: limits.where(F.col("measure") == m).select("src", F.col("len").alias(m), F.col("post").alias(f"{m}_post"))
     scored = scored.join(at("chars"), ["src", "chars"], "left").join(at("bytes"), ["src", "bytes"], "left").withColumn("prior", F.greatest("chars_post", "bytes_post"))
-    rest = scored.where("prior is null").groupBy("src", "chars").agg(F.count("*").alias("open"))
-    shut = hist.where("measure = 'chars'").select("src", F.col("len").alias("chars"), (F.col("n") - F.col("n_open")).alias("closed"))
-    piles = shut.join(rest, ["src", "chars"], "left").fillna(0, ["open"]).groupBy("src").applyInPandas(_piles, "src string, chars int, pile double")
-    scored = scored.join(piles, ["src", "chars"], "left").withColumn("prior", F.coalesce("prior", "pile"))
     bins = scored.where("prior is null").groupBy("src", "mark", F.round(F.col("score") * 4).cast("int").alias("bin")).agg(F.count("*").alias("n"))
     rates = bins.groupBy("src").applyInPandas(_rates, "src string, mark int, rate double")
     scored = scored.join(rates, ["src", "mark"], "left")
@@ -304,12 +319,12 @@ def _posteriors(t: DataFrame) -> DataFrame:
 
 def truncated(df: DataFrame, key: str, source: str, text: str) -> DataFrame:
     """id, posterior of the texts that were cut."""
-    return _posteriors(_texts(df, key, source, text)).where("posterior > 0.5").select("id", "posterior")
+    return _posteriors(_measured(_texts(df, key, source, text))).where("posterior > 0.5").select("id", "posterior")
 
 
 def truncation_share(df: DataFrame, key: str, source: str, text: str) -> DataFrame:
     """source, n_texts, n_truncated, share. A null source is listed as the empty one."""
-    t = _texts(df, key, source, text)
+    t = _measured(_texts(df, key, source, text))
     n = t.groupBy("src").agg(F.count("*").alias("n_texts"))
     c = _posteriors(t).groupBy("src").agg(F.count_if(F.col("posterior") > 0.5).alias("n_truncated"))
     out = n.join(c, "src", "left").withColumn("n_truncated", F.coalesce("n_truncated", F.lit(0)).cast("bigint"))

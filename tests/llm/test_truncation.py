@@ -82,3 +82,24 @@ def test_words_are_counted_in_all_closed_texts(spark, monkeypatch):
     truncation.truncated(df, "k", "s", "t").collect()
     assert seen["frame"] == {"người", "ở"} and sum(y == 0 for _, y in seen["made"]) <= 60
     assert {seen["level"][truncation.last_word(x)] for x, y in seen["made"] if y == 0} == {2}
+
+
+def test_limits_from_the_fit(monkeypatch):
+    rng = np.random.default_rng(2)
+    x = np.exp(rng.normal(5, 0.3, 20_000)).astype(int)
+    closed = rng.random(20_000) < 0.95
+    length = np.arange(1, 700)
+    n = lambda v: np.bincount(v, minlength=700)[1:].astype(float)
+    # As they are; kept to 180; kept to 180 by cutting at a blank.
+    assert truncation.find_limits(length, n(x[closed]), n(x[~closed]), True) == []
+    low = x <= 180
+    at = truncation.find_limits(length, n(x[closed & low]), n(np.r_[x[~closed & low], np.full((~low).sum(), 180)]), True)
+    assert [v for v, p in at if p > 0.9] == [180]
+    blanks = 180 - rng.integers(0, 6, (~low).sum())
+    at = truncation.find_limits(length, n(x[closed & low]), n(np.r_[x[~closed & low], blanks]), True)
+    assert {175, 176, 177, 178, 179, 180} <= {v for v, _ in at} <= set(range(171, 185))
+    # Another fit, other limits.
+    for mu, sd in ((0.0, 0.05), (20.0, 5.0), (5.0, 1.0)):
+        monkeypatch.setattr(truncation, "fit_mixture", lambda length, exact, censored, parts, mu=mu, sd=sd: (np.full(parts, 1 / parts), np.full(parts, mu), np.full(parts, sd)))
+        other = truncation.find_limits(length, n(x[closed & low]), n(np.r_[x[~closed & low], blanks]), True)
+        assert {v for v, _ in other} != {v for v, _ in at}
