@@ -4,15 +4,19 @@ Words are the longest runs of letters and digits of a text's consistent form, ca
 and marks dropped, đ taken as d. An item leaks into a document that holds ``n_words`` consecutive
 words of it, or all its words in a row if it has fewer.
 
-Every item-sized window of words is embedded by the CGK random walk: at step j the current word is
-written and a random bit of (j, word) says whether to step on, which maps edit distance between
-windows to Hamming distance between their embeddings. Each repetition has its own walk and samples
-some positions of the embedding; windows that agree there are candidates, and an exact edit distance
-over words decides. At distance 0 one repetition already finds every window; the repetitions are for
-``edits`` > 0.
-
-The items are the stated query set. Their index is built for blocks of bounded size and every block
-is held against the whole corpus in one narrow pass: no shuffle but that of the few hits. A window
+A leak at distance d holds a stretch that d edits of words (put in, left out, replaced) turn into such a window;
+d is at most ``edits``, and a fifth of the window's words, so that four fifths are alike.
+
+Every item-sized window of words, and in documents those of up to ``edits`` words less or more, is embedded by the CGK random walk:
+at step j the current word is written and a random bit of (j, word) says whether to step on, which maps
+edit distance between windows to Hamming distance between their embeddings. Each repetition has its own walk
+and samples some positions of the embedding; windows that agree there are candidates, and an exact
+edit distance over words decides. At distance 0 every repetition finds every window; the others' recall was measured
+(tests/llm/test_leaks.py).
+
+The items are the stated query set. Their index is built for blocks of ``BLOCK_CHARS`` code points, broadcast, and every
+block is held against the whole corpus in one narrow pass: no shuffle but that of the few hits. Of several blocks
+each one's hits are written before the next is read, so the driver holds one. A window
 with more than ``edits`` words, or more than twice as many pairs of neighbouring words, that no item
 has can't be within that distance and is not embedded.
 
@@ -32,12 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from shotlake.llm.canon import STABLE, canonical
+from shotlake.plans.lineage import cut
 
 #: Code points of item text in one block of the query set.
 BLOCK_CHARS = 20_000_000
 #: Code points of documents that are worked on at a time in a task.
 CHUNK = 1_000_000
-REPETITIONS, SAMPLED = 8, 6
+REPETITIONS, SAMPLED = 12, 4
 
 _SEP, _DROP, _MULTI, _UNSTABLE, _UNKNOWN = 0, -1, -2, -3, -9
 _lut = np.full(0x110000, _UNKNOWN, np.int32)
@@ -117,13 +122,14 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return h, np.searchsorted(off, at, side="right") - 1
 
 
-def embed(win: np.ndarray, repetition: int) -> np.ndarray:
-    """LSH keys of windows (n, w) of word hashes: the CGK walk of 3 w steps, sampled at some positions."""
+def embed(win: np.ndarray, repetition: int, size: int | None = None) -> np.ndarray:
+    """LSH keys of windows (n, w) of word hashes: the CGK walk for windows of about ``size`` (w) words, sampled at some positions."""
+    size = size or win.shape[1]
     n, w = win.shape
     rng = np.random.default_rng([811, repetition])
-    odd = rng.integers(0, 1 << 63, 3 * w, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    # Some early and some late positions, so that an edit at either end leaves samples before it.
-    sample = set(rng.choice(3 * w, min(SAMPLED, 3 * w), replace=False).tolist())
+    odd = rng.integers(0, 1 << 63, 3 * size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    # Beyond 2 size steps most walks are at the end.
+    sample = set(rng.choice(2 * size, min(SAMPLED, 2 * size), replace=False).tolist())
     padded = np.concatenate([win, np.zeros((n, 1), np.uint64)], axis=1)
     i, rows, key = np.zeros(n, np.int64), np.arange(n), np.full(n, repetition, np.uint64)
     for j in range(max(sample) + 1):
@@ -136,10 +142,10 @@ def embed(win: np.ndarray, repetition: int) -> np.ndarray:
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row-wise edit distance of (n, w) and (n, w) word hashes."""
-    n, w = a.shape
+    """Row-wise edit distance of (n, v) and (n, w) word hashes."""
+    n, v, w = len(a), a.shape[1], b.shape[1]
     prev = np.tile(np.arange(w + 1), (n, 1))
-    for i in range(w):
+    for i in range(v):
         cur = np.empty_like(prev)
         cur[:, 0] = i + 1
         for j in range(w):
@@ -181,45 +187,47 @@ class ItemIndex:
             starts = [np.arange(first[k], first[k + 1] - w + 1) for k in range(len(ids)) if min(n_words, count[k]) == w]
             at = np.concatenate(starts)
             win = h[at[:, None] + np.arange(w)]
+            most = min(edits, w // 5)
             reps = []
-            for r in range(REPETITIONS if edits else 1):
-                key = embed(win, r)
+            for r in range(REPETITIONS if most else 1):
+                key = embed(win, r, w)
                 order = np.argsort(key, kind="stable")
                 reps.append((key[order], order))
-            self.tables.append((w, win, owner[at], reps))
+            self.tables.append((w, most, win, owner[at], reps))
 
     def search(self, h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text number, item number, distance) of the windows within ``edits`` of an item's."""
+        """(text number, item number, distance) of the windows near an item's."""
         if not len(h):
             return (np.zeros(0, np.int64),) * 3
         total = np.r_[0, np.cumsum(self.words.has(h))]
         pairs = np.r_[0, np.cumsum(self.pairs.has(_pairs(h)))]
         out: list[tuple] = []
-        for w, items, owner, reps in self.tables:
-            if len(h) < w:
-                continue
-            n = len(h) - w + 1
-            ok = (total[w:] - total[:n] >= w - self.edits) & (pairs[w - 1 :] - pairs[:n] >= w - 1 - 2 * self.edits)
-            at = np.nonzero(ok & (doc[w - 1 :] == doc[:n]))[0]
-            for a in range(0, len(at), 50_000):
-                part = at[a : a + 50_000]
-                win = h[part[:, None] + np.arange(w)]
-                for r, (keys, order) in enumerate(reps):
-                    key = embed(win, r)
-                    lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, side="right")
-                    hit = np.nonzero(hi > lo)[0]
-                    for b in range(0, len(hit), 5000):
-                        some = hit[b : b + 5000]
-                        size = (hi - lo)[some]
-                        ends = np.cumsum(size)
-                        k = order[np.arange(ends[-1]) + np.repeat(lo[some] - (ends - size), size)]
-                        p = np.repeat(some, size)
-                        d = (win[p] != items[k]).any(axis=1).astype(np.int64)
-                        if self.edits and d.any():
-                            d[d > 0] = edit_distance(win[p[d > 0]], items[k[d > 0]])
-                        ok = d <= self.edits
-                        if ok.any():
-                            out.append(np.unique(np.stack([doc[part[p[ok]]], owner[k[ok]], d[ok]]), axis=1))
+        for w, most, items, owner, reps in self.tables:
+            for size in range(w - most, w + most + 1):
+                if len(h) < size:
+                    continue
+                n = len(h) - size + 1
+                ok = (total[size:] - total[:n] >= size - most) & (pairs[size - 1 :] - pairs[:n] >= size - 1 - 2 * most)
+                at = np.nonzero(ok & (doc[size - 1 :] == doc[:n]))[0]
+                for a in range(0, len(at), 50_000):
+                    part = at[a : a + 50_000]
+                    win = h[part[:, None] + np.arange(size)]
+                    for r, (keys, order) in enumerate(reps):
+                        key = embed(win, r, w)
+                        lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, side="right")
+                        hit = np.nonzero(hi > lo)[0]
+                        for b in range(0, len(hit), 5000):
+                            some = hit[b : b + 5000]
+                            count = (hi - lo)[some]
+                            ends = np.cumsum(count)
+                            k = order[np.arange(ends[-1]) + np.repeat(lo[some] - (ends - count), count)]
+                            p = np.repeat(some, count)
+                            d = (win[p] != items[k]).any(axis=1).astype(np.int64) if size == w else np.ones(len(p), np.int64)
+                            if most and d.any():
+                                d[d > 0] = edit_distance(win[p[d > 0]], items[k[d > 0]])
+                            ok = d <= most
+                            if ok.any():
+                                out.append(np.unique(np.stack([doc[part[p[ok]]], owner[k[ok]], d[ok]]), axis=1))
         if not out:
             return (np.zeros(0, np.int64),) * 3
         return tuple(np.unique(np.concatenate(out, axis=1), axis=1))
@@ -236,14 +244,18 @@ def leaks(docs: DataFrame, doc_key: str, doc_text: str, items: DataFrame, item_k
     for block in range(n_blocks):
         mine = named.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == block) if n_blocks > 1 else named
         rows = mine.distinct().collect()
-        index = ItemIndex([r[0] for r in rows], [r[1] for r in rows], n_words, edits)
+        index = docs.sparkSession.sparkContext.broadcast(ItemIndex([r[0] for r in rows], [r[1] for r in rows], n_words, edits))
         hits = texts.mapInArrow(_search(index, to_arrow_type(items.schema[item_key].dataType)), f"doc_id {d_type}, item_id {i_type}, distance int")
+        if n_blocks > 1:
+            hits = cut(hits)
+            index.destroy()
         found = hits if found is None else found.unionByName(hits)
     return found.groupBy("doc_id", "item_id").agg(F.min("distance").alias("distance"))
 
 
-def _search(index: ItemIndex, id_type: pa.DataType):
+def _search(shared, id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
         for b in batches:
             keys, texts = b.column(0), b.column(1).to_pylist()
             size = np.cumsum([len(t) for t in texts])

@@ -75,3 +75,27 @@ def test_recall_of_one_edit():
         hit |= leaks.embed(win, r) == leaks.embed(other, r)
     assert hit.mean() > 0.95
     assert (leaks.edit_distance(win, other) == 1).all()
+
+
+def test_recall_of_near_leaks_against_brute_force(spark):
+    """One word replaced, left out or put in, at any place: at least 0.9 of those that brute force finds, of each kind."""
+    rnd = random.Random(11)
+    vocabulary = ["".join(rnd.choice("abcdeghiklmnopqrstuvxy") for _ in range(5)) for _ in range(400)]
+    items = [(k, [rnd.choice(vocabulary) for _ in range(rnd.choice((6, 10, 14)))]) for k in range(240)]
+    docs, kinds = [], {}
+    for k, w in items:
+        n = min(10, len(w))
+        for kind in "rdi":
+            at = rnd.randrange(1, n - 1)
+            part = w[:n]
+            part = part[:at] + {"r": ["zzz"], "d": [], "i": ["zzz", part[at]]}[kind] + part[at + 1 :]
+            doc = 1000 * "rdi".index(kind) + k
+            kinds[doc, k] = kind
+            docs.append((doc, " ".join([*(rnd.choice(vocabulary) for _ in range(20)), "yyy", *part, "yyy", *(rnd.choice(vocabulary) for _ in range(20))])))
+    d = spark.createDataFrame(docs, "k long, t string")
+    i = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "k long, t string")
+    got = {(r.doc_id, r.item_id): r.distance for r in leaks.leaks(d, "k", "t", i, "k", "t").collect()}
+    for kind in "rdi":
+        want = {p for p, x in kinds.items() if x == kind}
+        assert len(want & set(got)) >= 0.9 * len(want), kind
+    assert all(got[p] == 1 for p in kinds if p in got)
