@@ -13,17 +13,31 @@ def plain(texts):
     return [e.ids for e in tokens._tokenizer(PATH).encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
-@pytest.mark.parametrize("rate", [0, 8, 60, 64])
-def test_any_cut_gives_the_whole_texts_ids(rate, monkeypatch):
+@pytest.mark.parametrize("size", [4, 16, 256, 1 << 20])
+def test_any_cut_gives_the_whole_texts_ids(size, monkeypatch):
     import pyarrow as pa
 
-    monkeypatch.setattr(tokens, "RATE", rate)
-    rnd = random.Random(rate)
+    monkeypatch.setattr(tokens, "CHUNK", size)
+    rnd = random.Random(size)
     letters = "ab1'. \n\t 　\x1c\x85 ẩđ\U0001f600木,"
     texts = ["".join(rnd.choice(letters) for _ in range(rnd.randrange(90))) for _ in range(3000)] + ["", None, "a" * 5000, " " * 3000, "bản tin " * 2000, "<|endoftext|>"]
     enc = tokens.Encoder(PATH)
     for _ in range(2):
         assert enc.encode(pa.array(texts)).to_pylist() == plain(texts)
+    assert (enc.repaired > 0) == (size < 1000) and enc.met >= 2 * enc.coded
+
+
+def test_passages_are_cut_alike_and_encoded_once():
+    import pyarrow as pa
+
+    rnd = random.Random(1)
+    word = lambda: "".join(rnd.choice("abcđeêghiklmnoôơpqrstuưvxy") for _ in range(rnd.randrange(1, 8)))
+    passage = " ".join(word() for _ in range(2000))
+    texts = [word() * 5 + passage + word() * k for k in range(20)]
+    enc = tokens.Encoder(PATH)
+    assert enc.encode(pa.array(texts)).to_pylist() == plain(texts)
+    # But for the first and last chunk of each text all are those of the passage.
+    assert enc.coded <= enc.met / 20 + 3 * 20 and enc.repaired > enc.met / 2
 
 
 def test_cache_starts_anew_when_full(monkeypatch):
