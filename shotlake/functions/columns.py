@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -50,6 +50,20 @@ def _accents() -> tuple[str, str]:
 ACCENTED, PLAIN = _accents()
 
 
+#: What ends a run of text that composing leaves as it is: marks, Hangul letters, and characters that composing replaces.
+_COMPOSES = "[\\p{M}\\u1100-\\u11FF\\u0340-\\u0344\\u0374\\u037E\\u0387\\u1F71-\\u1FFD\\u2000\\u2001\\u2126\\u212A\\u212B\\u2329\\u232A\\u2ADC\\uF900-\\uFAFF\\uFB1D-\\uFB4E\\u0958-\\u095F\\u09DC-\\u09DF\\u0A33-\\u0A5E\\u0B5C\\u0B5D\\u0F43-\\u0FB9]|[\\x{1D15E}-\\x{1D1C0}]|[\\x{2F800}-\\x{2FA1D}]"
+
+
+def composed(c: Column) -> Column:
+    """Letters and their marks as one character where one exists. Only texts that composing may change leave the JVM."""
+    @F.pandas_udf("string")
+    def compose(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
+
+    some = c.rlike(_COMPOSES)
+    return F.coalesce(compose(F.when(some, c)), c)
+
+
 def fold_accents(c: Column) -> Column:
     """Marks dropped, đ and Đ taken as d and D; decomposed input too."""
     return F.regexp_replace(F.translate(c, ACCENTED, PLAIN), "\\p{M}", "")
@@ -86,6 +100,7 @@ def _sub_matches(c: Column, pattern: str, fix) -> Column:
 def fix_numbers(c: Column) -> Column:
     """Letters read in place of digits in times, years, percentages and digit groups."""
     digits = lambda x: F.translate(x, "Oob", "006")
+    # The patterns of times, years, percentages and digit groups.
     # Most texts hold nothing of the kind; a plain pattern tells before the exact ones run.
     given, some = c, c.rlike("[0-9Oob][:.hH][0-9Oob]|19[89Oob]|20[0-3Oob]|[0-9][Oob]")
     time = r"(?U)\b([0-2]?[0-9Oob])[:.hH]([0-5]?[0-9Oob])\b"
@@ -93,7 +108,7 @@ def fix_numbers(c: Column) -> Column:
     c = _sub_matches(c, r"(?U)\b(19[89Oob][0-9Oob]|20[0-3Oob][0-9Oob])\b", digits)
     c = F.regexp_replace(c, r"(?U)\b(?<d>\d+)[Oob]%\b", "${d}0%")
     for _ in range(2):
-        c = F.regexp_replace(c, r"(?U)(\d)[Oo](\d)", "$1" + "0" + "$2")
+        c = F.regexp_replace(c, r"(?U)(?<a>\d)[Oo](?<b>\d)", "${a}0${b}")
     return F.when(some, c).otherwise(given)
 
 
@@ -113,7 +128,8 @@ def fix_words(c: Column) -> Column:
 
 
 def clean_recognised(c: Column) -> Column:
-    """The whole chain on composed text: trim, rubbish signs, numbers, words, white space. Null gives ''."""
+    """The whole chain: composed, trimmed, rubbish signs, numbers, words, white space. Null gives ''."""
+    c = composed(c)
     c = F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
     c = fix_words(fix_numbers(F.regexp_replace(c, _RUBBISH, " ")))
     return F.coalesce(F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", " "), "^ | $", ""), F.lit(""))
@@ -144,8 +160,18 @@ def adapt_charset(c: Column, charset: str) -> Column:
 
 
 def clean_label(c: Column) -> Column:
-    """White space removed, accents dropped, what isn't ASCII dropped."""
-    return F.regexp_replace(fold_accents_only(F.regexp_replace(c, r"(?U)\s+", "")), "[^\\x00-\\x7F]", "")
+    """White space removed, compatibility characters (ligatures, wide letters) and accents taken apart, what isn't ASCII then dropped.
+
+    Only texts with characters other than ASCII and accented Latin letters leave the JVM.
+    """
+    @F.pandas_udf("string")
+    def apart(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: unicodedata.normalize("NFKD", x), na_action="ignore")
+
+    c = F.regexp_replace(c, r"(?U)\s+", "")
+    plain = c.rlike(f"^[\\x00-\\x7F\\u0300-\\u036F{ACCENTED}]*$")
+    c = F.coalesce(apart(F.when(~plain, c)), fold_accents_only(c))
+    return F.regexp_replace(c, "[^\\x00-\\x7F]", "")
 
 
 def fold_accents_only(c: Column) -> Column:
@@ -222,7 +248,8 @@ def hamming(a: Column, b: Column) -> Column:
 
 
 def relative_path(path: Column, root: str) -> Column:
-    return F.regexp_replace(path, f"^{root.rstrip('/')}/", "")
+    head = root.rstrip("/") + "/"
+    return F.when(path.startswith(head), F.substring(path, F.lit(len(head) + 1), F.length(path))).otherwise(path)
 
 
 def absolute_path(path: Column, root: str) -> Column:
@@ -246,7 +273,3 @@ def speech_text(json: Column) -> Column:
     items = F.coalesce(F.from_json(json, "array<string>"), F.array(json))
     one = lambda x: F.coalesce(F.get_json_object(x, "$.text"), F.when(~x.rlike('^[\\[{].*'), F.regexp_replace(x, '^"|"$', "")), F.array_join(F.transform(F.from_json(x, "array<string>"), lambda y: F.coalesce(F.get_json_object(y, "$.text"), y)), " "))
     return F.trim(F.array_join(F.filter(F.transform(items, one), lambda x: F.length(x) > 0), " "))
-
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))

@@ -128,17 +128,6 @@ def preprocess(img: np.ndarray) -> np.ndarray:
     return crop_news_bands(apply_clahe(img))
 
 
-def stretch(g: np.ndarray, low: float = 1, high: float = 99) -> np.ndarray:
-    """Contrast stretched between two percentiles."""
-    a, b = np.percentile(g, [low, high])
-    return np.clip((g - a) * 255 / max(b - a, 1e-9), 0, 255).astype(np.uint8)
-
-
-def lower_band(g: np.ndarray, share: float = 0.25) -> np.ndarray:
-    """The lowest strip of an image, whatever is in it."""
-    return g[int(g.shape[0] * (1 - share)) :]
-
-
 def shrink(g: np.ndarray, longest: int) -> np.ndarray:
     """Every n-th row and column, so that the longer side is at most ``longest``."""
     n = max(1, -(-max(g.shape) // longest))

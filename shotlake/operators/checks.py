@@ -22,7 +22,7 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def keyframe_faults(df: DataFrame) -> DataFrame:
     """keyframe_id, fault: duplicates, ids of another video, ids that can't be file names."""
-    fault = F.when(F.col("keyframe_id").rlike("[/\\\\]|^\\.*$"), "path").when(~F.col("keyframe_id").startswith(F.col("video_id")), "video")
+    fault = F.when(F.col("keyframe_id").rlike("[/\\\\]|^\\.*$"), "path").when(~F.coalesce(F.col("keyframe_id").startswith(F.col("video_id")) & ~F.substring("keyframe_id", F.length("video_id") + 1, F.lit(1)).rlike("[\\p{L}\\p{N}]"), F.lit(False)), "video")
     bad = df.select("keyframe_id", fault.alias("fault")).where("fault is not null")
     return bad.unionByName(duplicates(df, ["keyframe_id"]).select("keyframe_id", F.lit("duplicate").alias("fault")))
 
@@ -51,6 +51,7 @@ def has_text(df: DataFrame, text: str) -> DataFrame:
     return df.where(F.length(text) > 0)
 
 
-def label_fits(label: Column, longest: int) -> Column:
-    """False for labels that are too long before, or empty after, the character set is applied."""
-    return (F.length(label) <= longest) & (F.length(F.trim(label)) > 0)
+def label_fits(label: Column, longest: int, charset: str | None = None) -> Column:
+    """False for labels that are too long as given, or empty once the character set (if any) is applied."""
+    left = label if charset is None else C.adapt_charset(label, charset)
+    return (F.length(label) <= longest) & (F.length(F.trim(left)) > 0)

@@ -11,7 +11,9 @@ disjoint, so a union of intervals needs no order:
 3. in a tile, blocks below a present ancestor go, sibling pairs become their parent, level by level,
    and adjacent blocks are joined to stretches;
 4. tiles below a block of a higher round go (an equi-join on the tile's ancestors);
-5. the disjoint stretches of an entity, now at most one a tile and gap, are joined where they touch.
+5. stretches that end at a border of their tile are joined where they touch: at most two a tile, and those of
+   higher rounds; all others are periods already. The gaps inside a tile are found in the tile, those
+   between tiles from each tile's first and last period, so no task holds all periods of an entity.
 
 Null bounds and ``end <= start`` are ignored. Null keys form a group of their own. Repeated rows
 change nothing. An empty table gives an empty result.
@@ -140,23 +142,31 @@ def periods(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
             part = part.join(hidden, [*[F.col(n).eqNullSafe(F.col(f"h{n}")) for n in named], F.col("tile") == F.col("htile")], "left_anti")
         part = part.select(*named, "s", "e")
         found = part if found is None else found.unionByName(part)
-    w = Window.partitionBy(*named).orderBy("s")
-    t = found.withColumn("new", F.coalesce((F.lag("e").over(w) != F.col("s")).cast("int"), F.lit(1)))
-    t = t.withColumn("run", F.sum("new").over(w))
-    t = t.groupBy(*named, "run").agg(F.min("s").alias("start_ms"), F.max("e").alias("end_ms"))
+    # What ends at no border of a tile of the first round touches nothing else and stays with its tile (of no number: the others).
+    border = (F.col("s").bitwiseAND(F.lit((1 << TILE) - 1)) == 0) | (F.col("e").bitwiseAND(F.lit((1 << TILE) - 1)) == 0)
+    t = found.withColumn("part", F.when(~border, F.shiftright("s", TILE)))
+    w = Window.partitionBy(*named, "part").orderBy("s")
+    t = t.withColumn("new", F.when(F.col("part").isNull() & (F.lag("e").over(w) == F.col("s")), 0).otherwise(1))
+    t = t.withColumn("run", F.sum("new").over(w)).groupBy(*named, "part", "run").agg(F.min("s").alias("start_ms"), F.max("e").alias("end_ms"))
     return t.select(*[F.col(n).alias(k) for n, k in zip(named, keys)], "start_ms", "end_ms")
 
 
 def periods_and_gaps(df: DataFrame, keys: list[str], start: str, end: str, longest_gap: int | None) -> DataFrame:
     """keys, kind ('period' or 'gap'), start_ms, end_ms. Gaps longer than ``longest_gap`` are not listed."""
-    w = Window.partitionBy(*keys).orderBy("start_ms")
-    t = periods(df, keys, start, end).withColumn("next", F.lead("start_ms").over(w))
+    named = [f"k{i}" for i in range(len(keys))]
+    t = periods(df, keys, start, end).select(*[F.col(k).alias(n) for k, n in zip(keys, named)], F.col("start_ms").alias("s"), F.col("end_ms").alias("e"))
+    t = t.withColumn("tile", F.shiftright("s", TILE))
+    w = Window.partitionBy(*named, "tile").orderBy("s")
+    t = t.withColumn("next", F.lead("s").over(w)).withColumn("edge", F.col("next").isNull() | F.lag("s").over(w).isNull())
+    # The first and last periods of the tiles are few; after a tile's last comes the first of the next that has any.
+    t = t.withColumn("tile", F.when(~F.col("edge"), F.col("tile")))
+    t = t.withColumn("next", F.coalesce("next", F.when(F.col("edge"), F.lead("s").over(Window.partitionBy(*named, "tile").orderBy("s")))))
     gap = F.col("next").isNotNull()
     if longest_gap is not None:
-        gap &= F.col("next") - F.col("end_ms") <= longest_gap
+        gap &= F.col("next") - F.col("e") <= longest_gap
     kinds = F.array(
-        F.struct(F.lit("period").alias("kind"), F.col("start_ms").alias("a"), F.col("end_ms").alias("b")),
-        F.when(gap, F.struct(F.lit("gap").alias("kind"), F.col("end_ms").alias("a"), F.col("next").alias("b"))),
+        F.struct(F.lit("period").alias("kind"), F.col("s").alias("a"), F.col("e").alias("b")),
+        F.when(gap, F.struct(F.lit("gap").alias("kind"), F.col("e").alias("a"), F.col("next").alias("b"))),
     )
-    t = t.select(*keys, F.explode(kinds).alias("x")).where(F.col("x").isNotNull())
-    return t.select(*keys, "x.kind", F.col("x.a").alias("start_ms"), F.col("x.b").alias("end_ms"))
+    t = t.select(*named, F.explode(kinds).alias("x")).where(F.col("x").isNotNull())
+    return t.select(*[F.col(n).alias(k) for n, k in zip(named, keys)], "x.kind", F.col("x.a").alias("start_ms"), F.col("x.b").alias("end_ms"))

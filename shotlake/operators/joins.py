@@ -8,26 +8,40 @@ from pyspark.sql import functions as F
 from shotlake.functions import columns as C
 
 TOLERANCE_MS = 500
-#: Width of a time bucket of the interval join. A row is copied to each bucket that it touches.
-BUCKET_MS = 60_000
+#: Widths of the buckets of the interval join (ms). A row takes the finest of which it touches at most COPIES.
+WIDTHS, COPIES = (60_000, 3_600_000, 1 << 62), 64
 
 
-def interval_pairs(left: DataFrame, right: DataFrame, key: str, left_bounds: tuple[str, str], right_bounds: tuple[str, str], tolerance: int = 0) -> DataFrame:
+def interval_pairs(left: DataFrame, right: DataFrame, key: str, left_bounds: tuple[str, str], right_bounds: tuple[str, str], tolerance: int = 0, widths: tuple[int, ...] = WIDTHS) -> DataFrame:
     """Rows of both sides whose closed intervals overlap within ``tolerance``, under one key.
 
-    Both sides are copied to the time buckets that they touch and joined on key and bucket; a pair is
+    A row takes the width of buckets of which it touches few, so a broken end doesn't flood the join. For each pair of widths both
+    sides are copied to the buckets, of the wider one, that they touch and joined on key and bucket; a pair is
     kept in the first bucket that both touch, so a key with very many rows is spread over its buckets
     and no pair comes twice. Intervals with a null bound or a reversed one join nothing.
     """
     (ls, le), (rs, re_) = left_bounds, right_bounds
-    bucket = lambda c: F.floor(c / BUCKET_MS)
-    a = left.where(F.col(ls) <= F.col(le)).withColumn("__lo", bucket(F.col(ls) - tolerance))
-    a = a.withColumn("__b", F.explode(F.sequence(F.col("__lo"), bucket(F.col(le) + tolerance))))
-    b = right.where(F.col(rs) <= F.col(re_)).withColumnRenamed(key, "__key").withColumn("__ro", bucket(F.col(rs)))
-    b = b.withColumn("__rb", F.explode(F.sequence(F.col("__ro"), bucket(F.col(re_)))))
-    on = (F.col(key) == F.col("__key")) & (F.col("__b") == F.col("__rb")) & (F.col("__b") == F.greatest("__lo", "__ro"))
-    on &= (F.col(rs) <= F.col(le) + tolerance) & (F.col(re_) >= F.col(ls) - tolerance)
-    return a.join(b, on).drop("__lo", "__b", "__key", "__ro", "__rb")
+    lo, hi = F.col(ls) - tolerance, F.col(le) + tolerance
+
+    def width(a: Column, z: Column) -> Column:
+        w = F.lit(len(widths) - 1)
+        for n in range(len(widths) - 2, -1, -1):
+            w = F.when(F.floor(z / widths[n]) - F.floor(a / widths[n]) < COPIES, n).otherwise(w)
+        return w
+
+    def copied(t: DataFrame, a: Column, z: Column, own: str, name: str) -> DataFrame:
+        # Own width and all wider ones: of a pair the wider of both sides' widths holds.
+        wide = F.filter(F.array(*[F.struct(F.lit(n).alias("w"), F.lit(b).cast("long").alias("ms")) for n, b in enumerate(widths)]), lambda x: x["w"] >= F.col(own))
+        t = t.withColumn(own, width(a, z)).withColumn(f"{name}x", F.explode(wide))
+        first, last = F.floor(a / F.col(f"{name}x.ms")), F.floor(z / F.col(f"{name}x.ms"))
+        return t.withColumn(f"{name}lo", first).withColumn(f"{name}b", F.explode(F.sequence(first, last))).withColumn(f"{name}w", F.col(f"{name}x.w")).drop(f"{name}x")
+
+    a = copied(left.where(F.col(ls) <= F.col(le)), lo, hi, "__own", "__l")
+    b = right.where(F.col(rs) <= F.col(re_)).withColumnRenamed(key, "__key")
+    b = copied(b, F.col(rs), F.col(re_), "__theirs", "__r")
+    on = (F.col(key) == F.col("__key")) & (F.col("__lw") == F.col("__rw")) & (F.col("__lb") == F.col("__rb")) & (F.col("__lb") == F.greatest("__llo", "__rlo"))
+    on &= (F.col("__lw") == F.greatest("__own", "__theirs")) & (F.col(rs) <= hi) & (F.col(re_) >= lo)
+    return a.join(b, on).drop("__own", "__theirs", "__key", *[f"__{s}{c}" for s in "lr" for c in ("lo", "b", "w")])
 
 
 def shot_transcripts(shots: DataFrame, segments: DataFrame, tolerance: int = TOLERANCE_MS) -> DataFrame:

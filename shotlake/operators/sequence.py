@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shotlake.plans.lineage import cut
+
 
 def scenes(predictions: DataFrame, group: str, pos: str, p: str, threshold: float = 0.5) -> DataFrame:
     """group, start_pos, end_pos: runs of frames below the threshold, each ended by the boundary after it.
@@ -110,13 +112,18 @@ def vad_rows(videos: DataFrame, segments: str = "segments") -> DataFrame:
 def sliced(df: DataFrame, order: list[str], first: int, last: int | None = None, reverse: bool = False, every: int = 1, keep: tuple[int, ...] = (0,)) -> DataFrame:
     """Rows [first, last) of an order, reversed if asked, of which those whose number modulo ``every`` is in ``keep`` stay.
 
-    Numbers come from a range-sorted zip, not from a window over one partition.
+    Rows are put in ranges of the order; numbers are those within a range after the counts of the ranges before, so no
+    task holds more than a range. The driver gets a count a range.
     """
     cols = [F.desc(c) for c in order] if reverse else [F.asc(c) for c in order]
-    numbered = df.sort(*cols).rdd.zipWithIndex().map(lambda x: (*x[0], x[1]))
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    t = df.sparkSession.createDataFrame(numbered, StructType([*df.schema.fields, StructField("row_no", LongType())]))
+    t = cut(df.repartitionByRange(*cols).withColumn("__range", F.spark_partition_id()))
+    counts, before, at = {r["__range"]: r["count"] for r in t.groupBy("__range").count().collect()}, {}, 0
+    for k in sorted(counts):
+        before[k], at = at, at + counts[k]
+    if not before:
+        return df.withColumn("row_no", F.lit(0).cast("long")).limit(0)
+    offset = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("__range")).cast("long")
+    t = t.withColumn("row_no", F.row_number().over(Window.partitionBy("__range").orderBy(*cols)) - 1 + offset).drop("__range")
     t = t.where(F.col("row_no") >= first)
     if last is not None:
         t = t.where(F.col("row_no") < last)

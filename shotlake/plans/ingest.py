@@ -14,7 +14,11 @@ from shotlake.plans import documents
 
 @dataclass
 class Artifacts:
-    """Tables of a batch; keyframes(video_id, keyframe_id, frame_idx, timestamp_ms, image_path, pos)."""
+    """Tables of a batch; keyframes(video_id, keyframe_id, frame_idx, timestamp_ms, image_path, pos), transcripts(shot_id, text, pos).
+
+    ``pos`` is a row's place in the file (``readers.with_place``); of several rows of a shot the last one counts (without
+    ``pos`` the greatest text).
+    """
 
     keyframes: DataFrame
     shots: DataFrame
@@ -33,7 +37,8 @@ def ingest(a: Artifacts, status: DataFrame, batch: str) -> dict[str, DataFrame]:
     kf = merge.not_done(a.keyframes, status, "frames")
     fps = aggregates.derive_fps(kf, "pos")
     shots = joins.only(a.shots, fps, "video_id").drop("fps").join(fps, "video_id")
-    said = joins.last_wins(a.transcripts.select("shot_id", F.col("text").alias("transcript"), F.monotonically_increasing_id().alias("o")), ["shot_id"], ["o"]).drop("o")
+    place = F.col("pos" if "pos" in a.transcripts.columns else "text").alias("pos")
+    said = joins.last_wins(a.transcripts.select("shot_id", F.col("text").alias("transcript"), place), ["shot_id"], ["pos"]).drop("pos")
     shot_docs = documents.shot_docs(shots.join(said, "shot_id", "left"))
     frames = documents.frame_docs(joins.asof_shot(kf, shots), batch)
     ocr = a.ocr.select("frame_id", C.underscores_to_spaces(F.col("text")).alias("text"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shotlake.functions import columns as C
-from shotlake.operators import checks, selection, sequence
+from shotlake.operators import checks, joins, selection, sequence
 
 
 @dataclass(frozen=True)
@@ -36,12 +36,23 @@ class Settings:
     text_stride: int = 25
     text_gap: int = 50
     floor: int = 1
+    sharpen: bool = False
+
+
+def _in_shots(frames: DataFrame, shots: DataFrame) -> DataFrame:
+    """frames with the columns of each shot that they are in.
+
+    Shots are found by the frame's number alone, in buckets of frames; what a frame carries is joined afterwards.
+    """
+    at = frames.select("video_id", "frame_idx", F.col("frame_idx").alias("__i"))
+    at = joins.interval_pairs(at, shots, "video_id", ("frame_idx", "__i"), ("start_frame", "end_frame"), widths=(1000, 100_000, 1 << 62)).drop("__i")
+    return frames.drop("shot_id").join(at, ["video_id", "frame_idx"])
 
 
 def candidates(frames: DataFrame, shots: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Candidate frames with window, score, text_protected and first, frame order kept by frame_idx."""
     sh = shots.select("video_id", "shot_id", "start_frame", "end_frame", "fps")
-    f = frames.drop("shot_id").join(sh, "video_id").where(F.col("frame_idx").between(F.col("start_frame"), F.col("end_frame")))
+    f = _in_shots(frames, sh)
     f = f.withColumn("win", sequence.window_no(F.col("frame_idx"), F.col("start_frame"), s.window))
     g = ["video_id", "shot_id", "win"]
     f = sequence.moving_mean(sequence.steepness(f, g, "frame_idx", "jpeg_size"), g, "frame_idx", "steepness", 3, "score")
@@ -99,8 +110,12 @@ def _fold(s: Settings):
 
 
 def extract(frames: DataFrame, shots: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """video_id, shot_id, keyframe_id, frame_idx, timestamp_ms, score."""
+    """video_id, shot_id, keyframe_id, frame_idx, timestamp_ms, score; with ``sharpen`` the sharpest alike frame nearby stands for each (column thumb)."""
     c = candidates(frames, shots, s)
     t = c.groupBy("video_id").applyInPandas(_fold(s), "video_id string, shot_id string, frame_idx int, fps double, score double")
+    if s.sharpen:
+        best = selection.sharpest(_in_shots(frames, shots), t.select("shot_id", "frame_idx"))
+        t = t.join(best, ["shot_id", "frame_idx"], "left").withColumn("frame_idx", F.coalesce("sharp_idx", "frame_idx").cast("int")).drop("sharp_idx")
+        t = t.groupBy("video_id", "shot_id", "frame_idx").agg(F.max("fps").alias("fps"), F.max("score").alias("score"))
     t = sequence.number_keyframes(t)
     return t.select("video_id", "shot_id", "keyframe_id", "frame_idx", C.keyframe_ms(F.col("frame_idx"), F.col("fps")).alias("timestamp_ms"), "score")

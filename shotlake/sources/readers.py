@@ -7,10 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shotlake.functions import columns as C
+from shotlake.sources.tables import missing
 
 # Endings of video and image files.
 VIDEO_ENDINGS = ("mp4", "avi", "mov", "mkv")
@@ -43,7 +45,9 @@ def discover_videos(spark: SparkSession, folder: str, allow: list[str] | None =
     try:
         spark.read.text(f"{folder}/metadata.json").limit(1).count()
         t = files(spark, folder, IMAGE_ENDINGS, True).select(F.col("parent").alias("video_id"), F.regexp_replace("path", "/[^/]*$", "").alias("path")).distinct()
-    except Exception:  # noqa: BLE001 - no such file
+    except AnalysisException as e:
+        if not missing(e):
+            raise
         t = files(spark, folder, ("mp4", "mov"), True).select(F.col("stem").alias("video_id"), "path")
     return t.where(F.col("video_id").isin(allow)) if allow else t
 
@@ -68,21 +72,28 @@ def json_lines(spark: SparkSession, path: str | list[str], schema: str) -> DataF
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
 
+def with_place(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+    """``json_lines`` with ``pos`` = (file, offset of its block, line in the block): the order of lines in files, the same at every run."""
+    t = spark.read.schema(schema + ", __bad string").option("columnNameOfCorruptRecord", "__bad").json(path)
+    order = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("line"))
+    return t.select("*", order.alias("pos")).where("__bad is null").drop("__bad")
+
+
 def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
 def shots(spark: SparkSession, folder: str, video: str) -> DataFrame:
     """Shots of a video from the first of its four possible files; ids that are missing or numbers become S%04d."""
-    error: Exception | None = None
     for name in (f"{video}/shots.json", f"{video}/shot.jsonl", f"{video}.json", f"{video}.jsonl"):
         try:
             t = spark.read.schema(SHOTS).option("multiLine", name.endswith(".json")).json(f"{folder}/{name}")
-        except Exception as e:  # noqa: BLE001 - the next file is tried
-            error = e
-            continue
+        except AnalysisException as e:
+            if missing(e):  # the next file is tried
+                continue
+            raise
         return normalise_shots(t, video)
-    raise FileNotFoundError(f"no shots of {video} in {folder}") from error
+    raise FileNotFoundError(f"no shots of {video} in {folder}")
 
 
 def normalise_shots(t: DataFrame, video: str) -> DataFrame:

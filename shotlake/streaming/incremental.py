@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from shotlake.operators import merge
+from shotlake.sources.tables import stored
 
 
 def spool(spark: SparkSession, folder: str, schema: str) -> DataFrame:
@@ -20,10 +21,7 @@ def sync(records: DataFrame, key: str, target: str, checkpoint: str) -> Streamin
     def write(batch: DataFrame, _no: int) -> None:
         spark = batch.sparkSession
         new = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
-        try:
-            have = spark.read.parquet(target)
-        except Exception:  # noqa: BLE001 - the first batch makes the table
-            have = None
+        have = stored(spark, target)
         if have is not None:
             new = new.join(have.select(key), key, "left_anti")
         new.write.mode("append").parquet(target)

@@ -40,6 +40,19 @@ def test_periods_nulls_touching_and_names(spark):
     assert ("a", "gap", 20, 700) in got
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_gaps_within_and_between_tiles(spark, seed):
+    rnd = random.Random(seed)
+    sizes = [1, 1000, 2**19, 2**20, 2**21 + 3] + ([2**41] if seed else [])
+    rows = [(rnd.choice(("a", None)), s, s + rnd.choice(sizes)) for s in [rnd.randrange(-(2**20), 2 ** (26 + 17 * seed)) for _ in range(60)]]
+    # Borders of tiles: touching from both sides, and a gap that begins or ends at one.
+    rows += [("b", 5, 2**20), ("b", 2**20, 2**20 + 9), ("b", 2**20 + 12, 2**21), ("b", 2**21 + 1, 2**21 + 2), ("b", 2**23, 2**23 + 1)]
+    df = spark.createDataFrame(rows, "k string, s long, e long")
+    want = [(k, "period", s, e) for k, s, e in merged(rows)]
+    want += [(k, "gap", e, s2) for (k, _, e), (k2, s2, _) in zip(merged(rows), merged(rows)[1:]) if k == k2]
+    assert sorted(map(tuple, periods_and_gaps(df, ["k"], "s", "e", None).collect()), key=str) == sorted(want, key=str)
+
+
 def test_periods_of_empty_table(spark):
     df = spark.createDataFrame([], "k string, s long, e long")
     assert periods_and_gaps(df, ["k"], "s", "e", 5).collect() == []
