@@ -5,11 +5,13 @@ dates, signs and blanks among them) are masked out. Two lines of one source (a v
 the edit distance of their letters is at most a tenth of the longer, rounded down. A line is repeated
 if documents (frames) of at least ``least`` different units (shots) of its source hold the same line.
 
-Different letters of a source meet by MinHash: a line's keys are the least hashes of its grams of ``GRAM``
-letters, so many that no pair is missed. An edit changes GRAM grams at most, so of two lines within k edits
-each has at most GRAM * k grams that the other hasn't, and the least gram of both is among the first
-GRAM * k + 1 of each (a gram's second occurrence counts as another gram; within k, a tenth of the longer,
-common grams remain). Lines that meet in a key, and whose sets of letter pairs k edits can turn into
+Different letters of a source meet by MinHash: a line's keys are the first of its grams of ``GRAM``
+letters in an order by how rare a gram is and then by hash, so many that no pair is missed. An edit changes
+GRAM grams at most, so of two lines within k edits each has at most GRAM * k grams that the other hasn't, and
+the first gram of both is among the first GRAM * k + 1 of each (a gram's second occurrence counts as another gram; within
+k, a tenth of the longer, common grams remain). Any order does for that; with rare grams first, a gram that
+stands in very many lines of a source is hardly ever a key, so a key's lines stay few at any size. How often
+grams stand is counted over all lines in a table of ``COUNTERS`` sums, of which the driver gets the powers of two. Lines that meet in a key, and whose sets of letter pairs k edits can turn into
 each other, are compared exactly. How often a line stands matters only up to ``least``, so a line carries at
 most that many units, chosen before the shuffle, and a line that alone reaches it needs no partner. The keys
 of a line are spread by hash: a hot source is split over its keys.
@@ -33,6 +35,8 @@ from shotlake.llm.runs import alike
 from shotlake.plans.lineage import cut
 
 GRAM = 4
+#: Sums of the counts of grams, by hash.
+COUNTERS = 1 << 18
 
 
 def _hashed(cp: np.ndarray, n: int) -> np.ndarray:
@@ -64,34 +68,65 @@ def _rank(line: np.ndarray) -> np.ndarray:
     return np.arange(len(line)) - np.repeat(starts, np.diff(np.r_[starts, len(line)]))
 
 
-def line_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _counter(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(46)).astype(np.int64)
+
+
+def _grams(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    cp = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    size = np.array([len(x) for x in lines])
+    grams = _inside(size, GRAM)
+    return _hashed(cp, GRAM)[grams], np.repeat(np.arange(len(lines)), size)[grams]
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each task, the counters that are not 0."""
+    n = np.zeros(COUNTERS, np.int64)
+    for b in batches:
+        for at in range(0, b.num_rows, 5000):
+            n += np.bincount(_counter(_grams(b.column(0).slice(at, 5000).to_pylist())[0]), minlength=COUNTERS)
+    at = np.nonzero(n)[0]
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], names=["at", "n"])
+
+
+def gram_levels(lines: DataFrame) -> np.ndarray:
+    """How common the grams of lines(letters) are, as a power of two by counter."""
+    t = lines.mapInArrow(_counts, "at int, n bigint").groupBy("at").agg(F.floor(F.log2(F.sum("n"))).cast("int").alias("level")).toPandas()
+    out = np.zeros(COUNTERS, np.uint8)
+    out[t["at"]] = t["level"]
+    return out
+
+
+def line_keys(lines: list[str], levels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys of all lines, how many each has, and the set of each line's letter pairs in 64 bits; every line has GRAM letters or more."""
     cp = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     size = np.array([len(x) for x in lines])
-    no = np.repeat(np.arange(len(lines)), size)
     pairs = _inside(size, 2)
     bits = np.uint64(1) << (_hashed(cp, 2)[pairs] >> np.uint64(58))
     bag = np.bitwise_or.reduceat(bits, np.r_[0, np.cumsum(size - 1)[:-1]])
-    grams = _inside(size, GRAM)
-    h, no = _hashed(cp, GRAM)[grams], no[grams]
+    h, no = _grams(lines)
     order = np.lexsort((h, no))
     h, no = h[order], no[order]
+    level = levels[_counter(h)]
     again = _rank(np.cumsum(np.r_[True, (h[1:] != h[:-1]) | (no[1:] != no[:-1])]))
     h = _mixed(h + again.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    order = np.lexsort((h, no))
+    order = np.lexsort((h, level, no))
     h, no = h[order], no[order]
     # The longer of two lines within a tenth of it is at most a ninth longer than this one.
     h, no = (x[_rank(no) <= GRAM * (size[no] // 9)] for x in (h, no))
     return h.view(np.int64), np.bincount(no, minlength=len(lines)), bag.view(np.int64)
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for at in range(0, b.num_rows, 5000):
-            part = b.slice(at, 5000)
-            keys, n, bag = line_keys(part.column(1).to_pylist())
-            offsets = pa.array(np.r_[0, np.cumsum(n)].astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bag), pa.ListArray.from_arrays(offsets, pa.array(keys))], names=[*part.schema.names, "bag", "keys"])
+def _keys(levels: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 5000):
+                part = b.slice(at, 5000)
+                keys, n, bag = line_keys(part.column(1).to_pylist(), levels)
+                offsets = pa.array(np.r_[0, np.cumsum(n)].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bag), pa.ListArray.from_arrays(offsets, pa.array(keys))], names=[*part.schema.names, "bag", "keys"])
+
+    return run
 
 
 def _lines(df: DataFrame, key: str, source: str, unit: str, text: str) -> DataFrame:
@@ -113,7 +148,7 @@ def _cases(lines: DataFrame, least: int) -> DataFrame:
     own = t.where(F.size("units") >= least).select("src", "letters")
     # Below nine letters nothing but the same letters is the same: the longer of a pair has ten at least.
     near = t.where("length(letters) >= 9").select("line", "letters", F.xxhash64("src").alias("h"), (F.size("units") < least).alias("light"))
-    near = near.mapInArrow(_keys, "line bigint, letters string, h bigint, light boolean, bag bigint, keys array<bigint>")
+    near = near.mapInArrow(_keys(gram_levels(near.select("letters"))), "line bigint, letters string, h bigint, light boolean, bag bigint, keys array<bigint>")
     near = near.select("line", F.length("letters").alias("n"), "light", "bag", "h", F.explode("keys").alias("k"))
     # One exchange of keys serves both sides; the letters come in by line, for candidates only.
     near = near.select(F.xxhash64("k", "h").alias("k"), "line", "n", "light", "bag").repartition("k")
