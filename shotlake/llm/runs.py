@@ -7,7 +7,8 @@ every event is like the one before becomes one row with its count and duration.
 An event's predecessor is found within buckets of time and, for a bucket's first event, from the last
 event of the bucket before, so no task holds a whole group. Runs are then found by pointer doubling:
 an event that is like its predecessor points to it, and self-joins replace each pointer by its
-target's pointer until all point to the start of their run; n events in a row take log2(n) joins, and
+target's pointer until all point to the start of their run; n events in a row take log2(n) joins. Events that
+point to their run's start are left out of the next join, and the pointers of the others all differ, so
 a run of any length is spread over tasks. Lineage is cut after each join by the checkpoint folder.
 
 Texts are compared in consistent form, case-folded, white space collapsed and trimmed. An event with a
@@ -43,7 +44,8 @@ def alike(a: str, b: str) -> Column:
 
 def _with_previous(t: DataFrame) -> DataFrame:
     """t(id, grp, ts, text) with pid, pts, ptext of the event before, in its group."""
-    t = t.withColumn("bucket", F.floor(F.col("ts") / BUCKET))
+    # One exchange, and one folding of the texts before it, serves the window and the buckets' last events.
+    t = t.withColumn("bucket", F.floor(F.col("ts") / BUCKET)).repartition("grp", "bucket")
     lasts = t.groupBy("grp", "bucket").agg(F.max(F.struct("ts", "id", "text")).alias("last"))
     w = Window.partitionBy("grp").orderBy("bucket")
     before = lasts.select(F.col("grp").alias("g"), F.col("bucket").alias("b"), F.lag("last").over(w).alias("carried"))
@@ -54,15 +56,20 @@ def _with_previous(t: DataFrame) -> DataFrame:
 
 
 def doubled(links: DataFrame) -> DataFrame:
-    """links(id, ptr, pts, ...) with every ptr (and pts) moved on to the end of its chain of pointers."""
-    links = cut(links)
-    while True:
-        to = links.select(F.col("id").alias("tid"), F.col("ptr").alias("tptr"), F.col("pts").alias("tpts"))
-        moved = links.drop("moved").join(to, F.col("ptr") == F.col("tid"), "left")
-        moved = moved.withColumn("moved", F.col("tid").isNotNull()).withColumn("ptr", F.coalesce("tptr", "ptr")).withColumn("pts", F.coalesce("tpts", "pts"))
-        links = cut(moved.drop("tid", "tptr", "tpts"))
-        if links.where("moved").isEmpty():
-            return links.drop("moved")
+    """links(id, ptr, pts, ...) with every ptr (and pts) moved on to the end of its chain of pointers.
+
+    A link whose target has no link is settled and takes no part in later joins, so a run's start isn't joined
+    by all its members: the unsettled pointers of a round all differ.
+    """
+    to = links.select(F.col("id").alias("tid"), F.lit(True).alias("on"))
+    t = cut(links.join(to, F.col("ptr") == F.col("tid"), "left").select(*links.columns, F.coalesce("on", F.lit(False)).alias("moving")))
+    settled, moving = t.where("not moving"), t.where("moving")
+    while not moving.isEmpty():
+        to = settled.unionByName(moving).select(F.col("id").alias("tid"), F.col("ptr").alias("tptr"), F.col("pts").alias("tpts"), F.col("moving").alias("tmoving"))
+        t = moving.join(to, F.col("ptr") == F.col("tid"))
+        t = cut(t.withColumns({"ptr": F.col("tptr"), "pts": F.col("tpts"), "moving": F.col("tmoving")}).select(*moving.columns))
+        settled, moving = settled.unionByName(t.where("not moving")), t.where("moving")
+    return settled.drop("moving")
 
 
 def repeated_runs(df: DataFrame, group: str, key: str, time: str, text: str) -> DataFrame:
