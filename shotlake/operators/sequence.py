@@ -39,9 +39,13 @@ def chunks(videos: DataFrame, total: str, size: int = 300) -> DataFrame:
     return t.select("video_id", F.format_string("S%04d", F.col("k") + 1).alias("shot_id"), "start_frame", F.least(F.col("start_frame") + size, F.col("n")).alias("e")).withColumn("end_frame", F.col("e") - 1).drop("e")
 
 
-def strided(frames: DataFrame, pos: str, start: int, end: int, stride: int = 1) -> DataFrame:
-    """Frames of an inclusive range, every ``stride``-th from its start."""
-    return frames.where(F.col(pos).between(start, end) & (F.pmod(F.col(pos) - start, F.lit(stride)) == 0))
+def strided(frames: DataFrame, pos: str, start: int, end: int, stride: int = 1, readable: str | None = None) -> DataFrame:
+    """Frames of an inclusive range, every ``stride``-th from its start; with ``readable``, up to the first of them that isn't."""
+    t = frames.where(F.col(pos).between(start, end) & (F.pmod(F.col(pos) - start, F.lit(stride)) == 0))
+    if readable is None:
+        return t
+    bad = t.where(~F.coalesce(F.col(readable), F.lit(False))).agg(F.min(pos).alias("__bad"))
+    return t.join(F.broadcast(bad), F.col("__bad").isNull() | (F.col(pos) < F.col("__bad")), "inner").drop("__bad")
 
 
 def window_no(frame: Column, start: Column, size: int = 1200) -> Column:

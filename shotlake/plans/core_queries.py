@@ -476,41 +476,69 @@ def batch_knn(s, d):
     return search.batch_top(e.where("vec_id % 50 = 0"), e, "vec_id", "embedding", 10).withColumn("score", F.round("score", 5))
 
 
-# --- greedy folds (no SQL) --------------------------------------------------------------------------
+# --- greedy folds -----------------------------------------------------------------------------------
+# In SQL, a recursion over the rows of a group in their order, that carries what was kept.
 
 
 def _windows(s, d):
     """embeddings as candidates: video = label, frame_idx, score."""
     e = table(s, d, "embeddings").where("label is not null")
-    return e.select(F.col("label").cast("string").alias("video_id"), F.col("vec_id").cast("int").alias("frame_idx"), "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(1000)).cast("double").alias("score"))
+    return e.select(F.col("label").cast("string").alias("video_id"), F.col("vec_id").cast("int").alias("frame_idx"), "embedding", (F.col("vec_id") * 7919 % 1000).cast("double").alias("score"))
 
 
-@query()
+_WINDOWS = """w AS (SELECT CAST(label AS VARCHAR) AS video_id, CAST(vec_id AS INT) AS frame_idx, CAST(embedding AS DOUBLE[]) AS e, CAST(vec_id * 7919 % 1000 AS DOUBLE) AS score FROM embeddings WHERE label IS NOT NULL)"""
+
+
+@query(f"""WITH RECURSIVE {TICKS}, r AS (SELECT g, i, v, row_number() OVER (PARTITION BY g ORDER BY v DESC, i) AS k FROM ticks),
+f AS (SELECT DISTINCT g, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS kept FROM r
+      UNION ALL SELECT f.g, r.k, CASE WHEN len(list_filter(kept, lambda x: abs(x - r.i) < 5)) = 0 THEN list_append(kept, r.i) ELSE kept END FROM f JOIN r ON r.g = f.g AND r.k = f.k + 1),
+u AS (SELECT g, unnest(arg_max(kept, k)) AS i FROM f GROUP BY g)
+SELECT g, i AS frame_idx, v AS score, FALSE AS protected FROM u JOIN ticks USING (g, i)""")
 def peak_nms(s, d):
     t = ticks(s, d).select("g", F.col("i").alias("frame_idx"), F.col("v").alias("score"), F.lit(False).alias("protected"))
     return selection.select_peaks(t, ["g"])
 
 
-@query()
+@query(f"""WITH RECURSIVE {TICKS}, r AS (SELECT g, i, v > 200 AS c, row_number() OVER (PARTITION BY g ORDER BY i) AS k FROM ticks),
+f AS (SELECT DISTINCT g, CAST(0 AS BIGINT) AS k, CAST(-1 AS BIGINT) AS last, CAST(NULL AS BIGINT) AS i, FALSE AS c FROM r
+      UNION ALL SELECT f.g, r.k, CASE WHEN r.c OR r.i - last >= 300 THEN r.i ELSE last END, r.i, r.c FROM f JOIN r ON r.g = f.g AND r.k = f.k + 1)
+SELECT g, i AS frame_idx, c AS chosen, 0 AS window_start FROM f WHERE i = last""")
 def gap_fill(s, d):
     t = ticks(s, d).select("g", F.col("i").alias("frame_idx"), (F.col("v") > 200).alias("chosen"), F.lit(0).alias("window_start"))
     return selection.select_filled(t, ["g"], 300)
 
 
-@query()
+@query(f"""WITH RECURSIVE {_WINDOWS}, r AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY frame_idx) AS k FROM w),
+f AS (SELECT DISTINCT video_id, CAST(0 AS BIGINT) AS k, CAST([] AS STRUCT(f INT, e DOUBLE[], forced BOOLEAN)[]) AS kept, CAST(NULL AS INT) AS last, CAST(NULL AS STRUCT(s DOUBLE, f INT, e DOUBLE[])) AS rival FROM r
+ UNION ALL SELECT video_id, k, CASE WHEN NOT near AND take THEN list_append(kept, struct_pack(f := f, e := e, forced := FALSE)) ELSE kept END, CASE WHEN NOT near AND take THEN f ELSE last END,
+   CASE WHEN near THEN rival WHEN take THEN NULL WHEN rival IS NULL OR sim <= rival.s THEN struct_pack(s := sim, f := f, e := e) ELSE rival END
+ FROM (SELECT *, last IS NOT NULL AND f - last < 5 AS near, sim IS NULL OR sim < CASE WHEN f - last > 150 THEN least(0.99, 0.3 + least(0.05, 0.005 * (f - last - 150))) ELSE 0.3 END AS take
+  FROM (SELECT *, list_max(list_transform(kept, lambda x: list_inner_product(x.e, e))) AS sim
+   FROM (SELECT video_id, k, f, e, CASE WHEN due THEN list_append(kept, struct_pack(f := rival.f, e := rival.e, forced := TRUE)) ELSE kept END AS kept, CASE WHEN due THEN rival.f ELSE last END AS last, CASE WHEN due THEN NULL ELSE rival END AS rival
+    FROM (SELECT f.video_id, r.k, r.frame_idx AS f, r.e, kept, last, rival, rival IS NOT NULL AND last IS NOT NULL AND r.frame_idx - last >= 300 AS due FROM f JOIN r ON r.video_id = f.video_id AND r.k = f.k + 1))))),
+u AS (SELECT video_id, unnest(arg_max(kept, k)) AS x FROM f GROUP BY video_id) SELECT video_id, frame_idx, score, x.forced AS forced FROM u JOIN w USING (video_id) WHERE frame_idx = x.f""")
 def semantic_filter(s, d):
     return selection.select_semantic(_windows(s, d), ["video_id"], threshold=0.3).drop("embedding")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_WINDOWS}, r AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY score DESC, frame_idx DESC) AS k FROM w),
+f AS (SELECT DISTINCT video_id, CAST(0 AS BIGINT) AS k, CAST([] AS STRUCT(f INT, e DOUBLE[])[]) AS kept FROM r
+      UNION ALL SELECT f.video_id, r.k, CASE WHEN len(list_filter(kept, lambda x: abs(x.f - r.frame_idx) < 5 OR list_inner_product(x.e, r.e) >= 0.3)) = 0 THEN list_append(kept, struct_pack(f := r.frame_idx, e := r.e)) ELSE kept END
+      FROM f JOIN r ON r.video_id = f.video_id AND r.k = f.k + 1),
+u AS (SELECT video_id, unnest(arg_max(kept, k)) AS x FROM f GROUP BY video_id) SELECT video_id, frame_idx, score FROM u JOIN w USING (video_id) WHERE frame_idx = x.f""")
 def diversity_nms(s, d):
     return selection.select_diverse(_windows(s, d), ["video_id"], 0.3).drop("embedding")
 
 
-@query()
+@query("""WITH RECURSIVE p AS (SELECT a.label, a.vec_id AS pred, b.vec_id AS truth, list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS sim FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id % 2 = 0 AND b.vec_id % 2 = 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY sim DESC, pred, truth) AS k FROM p WHERE sim >= 0.3),
+f AS (SELECT DISTINCT label, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS preds, CAST([] AS BIGINT[]) AS truths, CAST(NULL AS BIGINT) AS pred, CAST(NULL AS BIGINT) AS truth, CAST(NULL AS DOUBLE) AS sim, FALSE AS new FROM r
+      UNION ALL SELECT label, k, CASE WHEN new THEN list_append(preds, pred) ELSE preds END, CASE WHEN new THEN list_append(truths, truth) ELSE truths END, pred, truth, sim, new
+      FROM (SELECT f.label, r.k, preds, truths, r.pred, r.truth, r.sim, NOT list_contains(preds, r.pred) AND NOT list_contains(truths, r.truth) AS new FROM f JOIN r ON r.label = f.label AND r.k = f.k + 1))
+SELECT label, pred, truth, round(sim, 5) AS sim FROM f WHERE new""")
 def greedy_match(s, d):
     e = table(s, d, "embeddings")
-    return selection.match(e.where("vec_id % 2 = 0"), e.where("vec_id % 2 = 1"), "label", "vec_id", "embedding", 0.3)
+    return selection.match(e.where("vec_id % 2 = 0"), e.where("vec_id % 2 = 1"), "label", "vec_id", "embedding", 0.3).withColumn("sim", F.round("sim", 5))
 
 
 @query()
@@ -520,13 +548,60 @@ def keyframe_extraction(s, d):
     return keyframes.extract(e, sh, keyframes.Settings(similarity=0.3, redundancy=0.3, text=True))
 
 
-@query()
+_MAXED = ("l_partkey", "l_suppkey", "l_returnflag", "l_discount", "l_extendedprice", "l_quantity")
+_ITEMS = f"items AS (SELECT l_orderkey, l_linenumber, {', '.join(f'max({c}) AS {c}' for c in _MAXED)} FROM lineitem GROUP BY ALL)"
+
+
+def _items(s, d):
+    """lineitem with one row a line number."""
+    return table(s, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(*[F.max(c).alias(c) for c in _MAXED])
+
+
+def _words(s, d, height):
+    w = _items(s, d).select(F.col("l_orderkey").cast("string").alias("frame_id"), F.col("l_linenumber").alias("box_id"), F.col("l_returnflag").alias("text"), F.col("l_discount").alias("confidence"), (F.col("l_partkey") % 900).cast("double").alias("x1"), (F.col("l_suppkey") % 40).cast("double").alias("y1"), "l_quantity")
+    return w.withColumns({"x2": F.col("x1") + 30, "y2": F.col("y1") + height}).drop("l_quantity")
+
+
+def _lines_sql(height: str) -> str:
+    return f"""WITH RECURSIVE {_ITEMS}, b AS (SELECT CAST(l_orderkey AS VARCHAR) AS frame_id, l_linenumber AS box_id, l_returnflag AS t, l_discount AS c, CAST(l_partkey % 900 AS DOUBLE) AS x1, CAST(l_suppkey % 40 AS DOUBLE) AS y1, CAST({height} AS DOUBLE) AS h FROM items),
+r AS (SELECT *, y1 + h / 2 AS cy, row_number() OVER (PARTITION BY frame_id ORDER BY y1 + h / 2, box_id) AS k FROM b),
+f AS (SELECT DISTINCT frame_id, CAST(0 AS BIGINT) AS k, CAST([] AS STRUCT(y DOUBLE, h DOUBLE)[]) AS heads, CAST(NULL AS BIGINT) AS n, CAST(NULL AS BIGINT) AS box_id FROM r
+ UNION ALL SELECT frame_id, k, CASE WHEN line IS NULL THEN list_append(heads, struct_pack(y := cy, h := h)) ELSE heads END, coalesce(line, len(heads) + 1), box_id
+ FROM (SELECT f.frame_id, r.k, heads, r.cy, r.h, CAST(r.box_id AS BIGINT) AS box_id, CAST(list_position(list_transform(heads, lambda x: abs(r.cy - x.y) < 0.5 * least(r.h, x.h)), TRUE) AS BIGINT) AS line FROM f JOIN r ON r.frame_id = f.frame_id AND r.k = f.k + 1)),
+m AS (SELECT frame_id, arg_max(heads, k) AS heads FROM f GROUP BY frame_id), l AS (SELECT b.*, f.n, m.heads[f.n].h AS hh FROM f JOIN b ON b.frame_id = f.frame_id AND b.box_id = f.box_id JOIN m ON m.frame_id = f.frame_id),
+g AS (SELECT *, CASE WHEN x1 - lag(x1 + 30) OVER v > 1.5 * hh OR lag(x1) OVER v IS NULL THEN 1 ELSE 0 END AS new FROM l WINDOW v AS (PARTITION BY frame_id, n ORDER BY x1, box_id)),
+z AS (SELECT *, sum(new) OVER (PARTITION BY frame_id ORDER BY n, x1, box_id) - 1 AS line FROM g)
+SELECT frame_id, CAST(line AS BIGINT) AS line, string_agg(t, ' ' ORDER BY x1, box_id) AS text, round_even(avg(c), 4) AS confidence, min(x1) AS x1, min(y1) AS y1, max(x1 + 30) AS x2, max(y1 + h) AS y2 FROM z GROUP BY frame_id, line"""
+
+
+@query(_lines_sql("12"))
 def word_lines(s, d):
-    w = table(s, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("frame_id"), F.col("l_linenumber").alias("box_id"), F.col("l_returnflag").alias("text"), F.col("l_discount").alias("confidence"), (F.col("l_partkey") % 900).cast("double").alias("x1"), (F.col("l_suppkey") % 40).cast("double").alias("y1"))
-    return selection.lines_of_words(w.withColumns({"x2": F.col("x1") + 30, "y2": F.col("y1") + 12}))
+    return selection.lines_of_words(_words(s, d, F.lit(12)))
 
 
-@query()
+@query(_lines_sql("8 + 11 * (l_quantity % 3)"))
+def word_lines_of_heights(s, d):
+    """A line splits by its own height, that of its first word."""
+    return selection.lines_of_words(_words(s, d, 8 + 11 * (F.col("l_quantity") % 3)))
+
+
+def _boxes_sql(width: str, height: str) -> str:
+    return f"""WITH RECURSIVE {_ITEMS}, b AS (SELECT CAST(l_orderkey AS VARCHAR) AS frame_id, l_linenumber AS box_id, CAST(l_partkey % 90 AS DOUBLE) AS x1, CAST(l_suppkey % 40 AS DOUBLE) AS y1, l_extendedprice AS score, CAST({width} AS DOUBLE) AS w, CAST({height} AS DOUBLE) AS h FROM items),
+r AS (SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY score DESC, box_id) AS k FROM b),
+f AS (SELECT DISTINCT frame_id, CAST(0 AS BIGINT) AS k, CAST([] AS STRUCT(id BIGINT, x DOUBLE, y DOUBLE, w DOUBLE, h DOUBLE)[]) AS kept FROM r
+ UNION ALL SELECT f.frame_id, r.k, CASE WHEN len(list_filter(kept, lambda q: greatest(0, least(q.x + q.w, r.x1 + r.w) - greatest(q.x, r.x1)) * greatest(0, least(q.y + q.h, r.y1 + r.h) - greatest(q.y, r.y1)) > 0.5 * least(q.w * q.h, r.w * r.h))) = 0
+   THEN list_append(kept, struct_pack(id := CAST(r.box_id AS BIGINT), x := r.x1, y := r.y1, w := r.w, h := r.h)) ELSE kept END FROM f JOIN r ON r.frame_id = f.frame_id AND r.k = f.k + 1),
+u AS (SELECT frame_id, unnest(arg_max(kept, k)).id AS box_id FROM f GROUP BY frame_id) SELECT b.frame_id, b.box_id, x1, y1, score, x1 + w AS x2, y1 + h AS y2 FROM b JOIN u ON b.frame_id = u.frame_id AND b.box_id = u.box_id"""
+
+
+@query(_boxes_sql("30", "12"))
 def box_nms(s, d):
-    w = table(s, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("frame_id"), F.col("l_linenumber").alias("box_id"), (F.col("l_partkey") % 90).cast("double").alias("x1"), (F.col("l_suppkey") % 40).cast("double").alias("y1"), F.col("l_extendedprice").alias("score"))
+    w = _items(s, d).select(F.col("l_orderkey").cast("string").alias("frame_id"), F.col("l_linenumber").alias("box_id"), (F.col("l_partkey") % 90).cast("double").alias("x1"), (F.col("l_suppkey") % 40).cast("double").alias("y1"), F.col("l_extendedprice").alias("score"))
     return selection.select_boxes(w.withColumns({"x2": F.col("x1") + 30, "y2": F.col("y1") + 12}))
+
+
+@query(_boxes_sql("10 + 8 * (l_quantity % 7)", "5 + 4 * (l_quantity % 5)"))
+def box_nms_of_sizes(s, d):
+    """Boxes of different areas: the smaller one's counts."""
+    w = _items(s, d).select(F.col("l_orderkey").cast("string").alias("frame_id"), F.col("l_linenumber").alias("box_id"), (F.col("l_partkey") % 90).cast("double").alias("x1"), (F.col("l_suppkey") % 40).cast("double").alias("y1"), F.col("l_extendedprice").alias("score"), "l_quantity")
+    return selection.select_boxes(w.withColumns({"x2": F.col("x1") + 10 + 8 * (F.col("l_quantity") % 7), "y2": F.col("y1") + 5 + 4 * (F.col("l_quantity") % 5)}).drop("l_quantity"))

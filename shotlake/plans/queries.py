@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shotlake.operators import dyadic
-from shotlake.plans import core_queries
+from shotlake.plans import core_queries, operator_queries  # noqa: F401 - the second adds its queries to the first's
 from shotlake.sources.tables import table
 
 

@@ -33,9 +33,9 @@ def table(df: DataFrame, name: str, key: str = "video_id", buckets: int = 64, ba
 
 
 def summary_csv(stats: DataFrame, path: str) -> None:
-    """Rows of statistics, rounded to three places, appended with a header."""
+    """Rows of statistics (one a video or group: few), rounded to three places, appended as one file with a header."""
     cols = [F.round(c, 3).alias(c) if t == "double" else F.col(c) for c, t in stats.dtypes]
-    stats.select(*cols).write.mode("append").option("header", True).csv(path)
+    stats.select(*cols).coalesce(1).write.mode("append").option("header", True).csv(path)
 
 
 def samples(frames: DataFrame, path: str, n: int = 20) -> None:
