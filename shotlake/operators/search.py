@@ -17,11 +17,14 @@ import re
 import unicodedata
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shotlake.functions import columns as C
 from shotlake.operators.joins import in_filter
+from shotlake.plans.lineage import cut
 
 K1, B = 1.2, 0.75
 EXPANSIONS = 10
@@ -46,43 +49,103 @@ def required(n: int) -> int:
     return n if n <= 2 else n * 3 // 4
 
 
+def _deletions(c: Column) -> Column:
+    """A word, and it without each of its letters: words within one edit (or swap) share one of these."""
+    return F.array_distinct(F.concat(F.array(c), F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, F.length(c))))))
+
+
 class TextIndex:
-    """Postings (field, term, doc, tf, dl), and the number and mean length of each field's documents."""
+    """Postings (field, doc, term, tf, dl), the number and mean length of each field's documents, and the terms by their deletions.
+
+    Stored, an index is a folder of tables in segments: ``write`` makes the first, ``upsert`` adds one with the new rows of some
+    documents and their keys, by which older rows of theirs no longer count. Postings are laid out by field and term,
+    terms by deletion, so a search reads a few row groups.
+    """
 
     def __init__(self, docs: DataFrame, key: str, fields: dict[str, tuple[str, bool]]):
         """fields: name -> (column, accents folded?)."""
-        self.docs, self.key = docs, key
-        # The length comes from the exploded terms: a filter on it would be pushed down and tokenise again.
-        parts = [docs.select(F.lit(f).alias("field"), F.col(key).alias("doc"), F.explode(words_of(F.col(c), fold)).alias("term")) for f, (c, fold) in fields.items()]
-        t = parts[0]
-        for p in parts[1:]:
-            t = t.unionByName(p)
-        per_doc = t.groupBy("field", "doc", "term").agg(F.count("*").alias("tf")).repartition("field", "doc")
-        self.postings = per_doc.withColumn("dl", F.sum("tf").over(Window.partitionBy("field", "doc")))
-        dl = t.groupBy("field", "doc").agg(F.count("*").alias("dl"))
-        self.stats = dl.groupBy("field").agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avg_dl"))
+        self.docs, self.key, self.spark = docs, key, docs.sparkSession
+        # One row a document, and a document's terms together: counting them needs no shuffle where docs are distributed by key.
+        # The terms aren't filtered on: a filter would be pushed down and tokenise again.
+        parts = F.array(*[F.struct(F.lit(f).alias("field"), words_of(F.col(c), fold).alias("w")) for f, (c, fold) in fields.items()])
+        t = docs.select(F.col(key).alias("doc"), F.explode(parts).alias("x")).select("doc", "x.field", "x.w", F.size("x.w").alias("dl"))
+        self.postings = t.select("field", "doc", "dl", F.explode("w").alias("term")).groupBy("field", "doc", "term", "dl").agg(F.count("*").alias("tf"))
+        self.lengths = t.select("field", "doc", F.when(F.col("dl") > 0, F.col("dl")).alias("dl"))
+        self.stats = self._stats(self.lengths)
+        self.keys = self._keys(self.postings)
+
+    @staticmethod
+    def _stats(lengths: DataFrame) -> DataFrame:
+        return lengths.groupBy("field").agg(F.count("dl").alias("n_docs"), F.avg("dl").alias("avg_dl"))
+
+    @staticmethod
+    def _keys(postings: DataFrame) -> DataFrame:
+        return postings.select("field", "term").distinct().select("field", "term", F.explode(_deletions(F.col("term"))).alias("k"))
 
     def terms(self) -> DataFrame:
         return self.postings.select("field", "term").distinct()
 
     def expansions(self, words: Sequence[str]) -> DataFrame:
         """field, q, term, weight: the query's words and the index's words within one edit."""
-        q = self.docs.sparkSession.createDataFrame([(w,) for w in words], "q string")
-        cut = lambda c: F.array_distinct(F.concat(F.array(c), F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, F.length(c))))))
-        a = q.select("q", F.explode(cut(F.col("q"))).alias("k"))
-        b = self.terms().select("field", "term", F.explode(cut(F.col("term"))).alias("k"))
-        t = b.join(F.broadcast(a), "k").select("field", "q", "term").distinct().where(within_one("q", "term"))
+        cuts = sorted({w[:i] + w[i + 1 :] for w in words for i in range(len(w))} | set(words))
+        q = self.spark.createDataFrame([(w,) for w in words], "q string")
+        a = q.select("q", F.explode(_deletions(F.col("q"))).alias("k"))
+        t = self.keys.where(F.col("k").isin(cuts)).join(F.broadcast(a), "k").select("field", "q", "term").distinct().where(within_one("q", "term"))
         near = F.when(F.col("q") == F.col("term"), F.lit(1.0)).otherwise(1 - 1 / F.least(F.length("q"), F.length("term")))
         t = t.withColumn("weight", near).where("weight > 0")
         w = Window.partitionBy("field", "q").orderBy(F.desc("weight"), "term")
         return t.withColumn("r", F.row_number().over(w)).where((F.col("q") == F.col("term")) | (F.col("r") <= EXPANSIONS)).drop("r")
 
-    def _scored(self, pairs: DataFrame) -> DataFrame:
+    def _segment(self, path: str, no: int) -> None:
+        mode = "overwrite" if no == 0 else "append"
+        at = lambda t: t.withColumn("segment", F.lit(no)).write.mode(mode)
+        at(self.postings.repartitionByRange("field", "term").sortWithinPartitions("field", "term", "doc")).partitionBy("segment", "field").parquet(f"{path}/postings")
+        # What was just written is read for the rest: texts are taken apart once.
+        mine = self.spark.read.parquet(f"{path}/postings").where(F.col("segment") == no).drop("segment")
+        at(self._keys(mine).repartitionByRange("k").sortWithinPartitions("k")).partitionBy("segment").parquet(f"{path}/keys")
+        at(mine.groupBy("field", "doc").agg(F.max("dl").alias("dl"))).partitionBy("segment").parquet(f"{path}/lengths")
+        at(self.docs.select(F.col(self.key).alias("doc")).distinct()).partitionBy("segment").parquet(f"{path}/docs")
+        self._write_stats(path, no, mode)
+
+    def _write_stats(self, path: str, no: int, mode: str) -> None:
+        live = self._live(self.spark.read.parquet(f"{path}/lengths"), self.spark.read.parquet(f"{path}/docs"))
+        self._stats(live).withColumn("segment", F.lit(no)).coalesce(1).write.mode(mode).parquet(f"{path}/stats")
+
+    @staticmethod
+    def _live(rows: DataFrame, docs: DataFrame) -> DataFrame:
+        """Rows of a document's last segment."""
+        last = docs.groupBy("doc").agg(F.max("segment").alias("last")).where("last > 0")
+        return rows.join(last, "doc", "left").where(F.col("last").isNull() | (F.col("segment") == F.col("last"))).drop("last")
+
+    def write(self, path: str) -> None:
+        """The index as tables of one segment."""
+        self._segment(path, 0)
+
+    def upsert(self, path: str) -> None:
+        """This index's documents into a stored one: rows that it has of them no longer count."""
+        last = self.spark.read.parquet(f"{path}/stats").agg(F.max("segment")).first()[0]
+        self._segment(path, last + 1)
+
+    @classmethod
+    def read(cls, docs: DataFrame, key: str, path: str) -> TextIndex:
+        index = cls.__new__(cls)
+        index.docs, index.key, index.spark = docs, key, docs.sparkSession
+        stored = {n: index.spark.read.parquet(f"{path}/{n}") for n in ("postings", "keys", "docs", "stats")}
+        last = stored["stats"].agg(F.max("segment")).first()[0]
+        index.stats = stored["stats"].where(F.col("segment") == last).drop("segment")
+        index.postings = (index._live(stored["postings"], stored["docs"]) if last else stored["postings"]).drop("segment")
+        # A term that only rows have that no longer count finds nothing.
+        index.keys = stored["keys"].select("field", "term", "k").distinct() if last else stored["keys"].drop("segment")
+        return index
+
+    def _scored(self, pairs: list[tuple[str, str, str, float]]) -> DataFrame:
         """field, q, doc, s, x: each query word's best hit in each document, and its exact hit.
 
-        pairs (a query's words and their few expansions) and the statistics are bounded and broadcast.
+        pairs: (field, word, term, weight), a query's words and their few expansions; they choose what is read of the postings.
         """
-        hits = self.postings.join(F.broadcast(pairs), ["field", "term"])
+        p = self.spark.createDataFrame(pairs, "field string, q string, term string, weight double")
+        some = self.postings.where(F.col("field").isin(sorted({x[0] for x in pairs})) & F.col("term").isin(sorted({x[2] for x in pairs})))
+        hits = some.join(F.broadcast(p), ["field", "term"])
         df = hits.groupBy("field", "q", "term").agg(F.count("*").alias("df"))
         hits = hits.join(F.broadcast(self.stats), "field").join(F.broadcast(df), ["field", "q", "term"])
         idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -90,41 +153,27 @@ class TextIndex:
         hits = hits.withColumn("s", idf * tf * F.col("weight"))
         return hits.groupBy("field", "doc", "q").agg(F.max("s").alias("s"), F.max(F.when(F.col("q") == F.col("term"), F.col("s"))).alias("x"))
 
-    def write(self, path: str) -> None:
-        """The index as tables, postings laid out by term, so that a search reads few files."""
-        self.postings.repartitionByRange("field", "term").sortWithinPartitions("field", "term", "doc").write.mode("overwrite").parquet(f"{path}/postings")
-        self.stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
-
-    @classmethod
-    def read(cls, docs: DataFrame, key: str, path: str) -> TextIndex:
-        index = cls.__new__(cls)
-        index.docs, index.key = docs, key
-        index.postings, index.stats = docs.sparkSession.read.parquet(f"{path}/postings"), docs.sparkSession.read.parquet(f"{path}/stats")
-        return index
-
     def bm25(self, query: str, field: str) -> DataFrame:
         """doc, score: plain OR of the query's words."""
         words = query_words(query)
-        pairs = self.docs.sparkSession.createDataFrame([(field, w, w, 1.0) for w in words], "field string, q string, term string, weight double")
-        return self._scored(pairs).groupBy("doc").agg(F.sum("s").alias("score"))
+        return self._scored([(field, w, w, 1.0) for w in words]).groupBy("doc").agg(F.sum("s").alias("score"))
 
     def search(self, query: str, fields: list[str], accented: str | None = None, fuzzy: bool = True) -> DataFrame:
         """doc, score of the ranking above; the best field counts."""
         words = query_words(query)
-        spark = self.docs.sparkSession
         if not words:
             return self.docs.select(F.col(self.key).alias("doc"), F.lit(0.0).alias("score")).limit(0)
         need = required(len(words))
-        exact = spark.createDataFrame([(f, w, w, 1.0) for f in fields for w in words], "field string, q string, term string, weight double")
-        pairs = self.expansions(words).where(F.col("field").isin(fields)) if fuzzy else exact
+        pairs = [(f, w, w, 1.0) for f in fields for w in words]
+        if fuzzy:  # at most EXPANSIONS a field and word
+            pairs = [tuple(r) for r in self.expansions(words).where(F.col("field").isin(fields)).select("field", "q", "term", "weight").collect()]
         t = self._scored(pairs).groupBy("field", "doc").agg(F.sum("s").alias("sum"), F.count("*").alias("hits"), F.sum("x").alias("xsum"), F.count("x").alias("xhits"))
         best = lambda v, ok: F.coalesce(F.max(F.when(ok, F.col(v))), F.lit(0.0))
         score = best("sum", F.lit(True)) + 5 * best("sum", F.col("hits") >= need) + 3 * best("xsum", F.col("xhits") >= need)
         out = t.groupBy("doc").agg(score.alias("score"))
         if accented and has_accents(query):
             aw = query_words(query, fold=False)
-            all_of = spark.createDataFrame([(accented, w, w, 1.0) for w in aw], "field string, q string, term string, weight double")
-            plus = self._scored(all_of).groupBy("doc").agg(F.sum("s").alias("plus"), F.count("*").alias("n")).where(F.col("n") == len(aw))
+            plus = self._scored([(accented, w, w, 1.0) for w in aw]).groupBy("doc").agg(F.sum("s").alias("plus"), F.count("*").alias("n")).where(F.col("n") == len(aw))
             out = out.join(plus, "doc", "left").select("doc", (F.col("score") + 3 * F.coalesce("plus", F.lit(0.0))).alias("score"))
         return out
 
@@ -151,29 +200,45 @@ def hits(scores: DataFrame, docs: DataFrame, key: str, k: int = 100, video_ids:
 
 
 def vector_scores(entities: DataFrame, key: str, vector: str, query: Sequence[float]) -> DataFrame:
-    """doc, score: exact cosine with the query vector; entities of another length are left out."""
-    q = F.array(*[F.lit(float(x)) for x in query])
-    return entities.where(F.size(vector) == len(query)).select(F.col(key).alias("doc"), C.cosine(F.col(vector), q).alias("score")).where("score is not null")
+    """doc, score: exact cosine with the query vector, a matrix product a batch; entities of another length are left out, and those without a cosine."""
+    q = np.array(query, np.float64)
+    q /= max(np.linalg.norm(q), 1e-300)
+
+    @F.pandas_udf("double")
+    def cosine(v: pd.Series) -> pd.Series:
+        m = np.stack(v.to_numpy()).astype(np.float64)
+        with np.errstate(all="ignore"):
+            c = m @ q / np.linalg.norm(m, axis=1)
+        return pd.Series(c).where(np.isfinite(c))
+
+    t = entities.where(F.size(vector) == len(query)).select(F.col(key).alias("doc"), cosine(F.col(vector)).alias("score"))
+    return t.where("score is not null")
+
+
+#: Queries that are held against all entities at a time.
+QUERIES = 4096
 
 
 def batch_top(queries: DataFrame, entities: DataFrame, key: str, vector: str, k: int) -> DataFrame:
-    """query, doc, score, rank: the k nearest entities of each of a bounded set of queries, by blocks of matrix products.
+    """query, doc, score, rank: the k nearest entities of each of a set of queries, by blocks of matrix products.
 
-    The queries (at most 4096 a block) are held against all entities; each task keeps its k best a query.
+    A block of about ``QUERIES`` is broadcast and held against all entities; each task keeps its k best a query. Of several
+    blocks each one's result is written before the next is read, so the driver holds one.
     """
-    import numpy as np
-    import pandas as pd
-
-    out = None
-    rows = queries.select(F.col(key).alias("q"), F.col(vector).alias("v")).where("v is not null").orderBy("q").collect()
+    named = queries.select(F.col(key).alias("q"), F.col(vector).alias("v")).where("v is not null")
     kind = dict(queries.dtypes)[key]
-    for at in range(0, len(rows), 4096):
-        part = rows[at : at + 4096]
-        ids, m = [r[0] for r in part], np.array([r[1] for r in part], np.float64)
+    n_blocks = -(-named.count() // QUERIES)
+    t = entities.select(F.col(key).alias("doc"), F.col(vector).alias("v"))
+    out = None
+    for block in range(n_blocks):
+        rows = (named.where(F.pmod(F.xxhash64("q"), F.lit(n_blocks)) == block) if n_blocks > 1 else named).collect()
+        ids, m = [r[0] for r in rows], np.array([r[1] for r in rows], np.float64)
         m /= np.maximum(np.linalg.norm(m, axis=1), 1e-300)[:, None]
+        shared = queries.sparkSession.sparkContext.broadcast((ids, m))
 
-        def run(batches, ids=ids, m=m):
-            best: list = []
+        def run(batches, shared=shared):
+            ids, m = shared.value
+            names, best = np.array(ids), []
             for b in batches:
                 b = b[b["v"].map(lambda v: v is not None and len(v) == m.shape[1])]
                 if not len(b):
@@ -182,14 +247,17 @@ def batch_top(queries: DataFrame, entities: DataFrame, key: str, vector: str, k:
                 s = m @ (e / np.maximum(np.linalg.norm(e, axis=1), 1e-300)[:, None]).T
                 top = np.argpartition(-s, min(k, s.shape[1]) - 1, axis=1)[:, : min(k, s.shape[1])]
                 i = np.repeat(np.arange(len(m)), top.shape[1])
-                best.append(pd.DataFrame({"query": np.array(ids)[i], "doc": b["doc"].to_numpy()[top.ravel()], "score": s[i, top.ravel()]}))
+                best.append(pd.DataFrame({"query": names[i], "doc": b["doc"].to_numpy()[top.ravel()], "score": s[i, top.ravel()]}))
                 if len(best) > 8:
                     best = [pd.concat(best).sort_values(["query", "score"], ascending=[True, False]).groupby("query").head(k)]
             if best:
                 yield pd.concat(best).sort_values(["query", "score", "doc"], ascending=[True, False, True]).groupby("query").head(k)
 
-        t = entities.select(F.col(key).alias("doc"), F.col(vector).alias("v")).mapInPandas(run, f"query {kind}, doc {kind}, score double")
-        out = t if out is None else out.unionByName(t)
+        hits = t.mapInPandas(run, f"query {kind}, doc {kind}, score double")
+        if n_blocks > 1:
+            hits = cut(hits)
+            shared.destroy()
+        out = hits if out is None else out.unionByName(hits)
     if out is None:
         return entities.sparkSession.createDataFrame([], f"query {kind}, doc {kind}, score double, rank int")
     w = Window.partitionBy("query").orderBy(F.desc("score"), "doc")

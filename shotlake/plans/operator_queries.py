@@ -342,12 +342,12 @@ def numbers_fixed(s, d):
     return table(s, d, "events").select("event_id", C.fix_numbers(misread).alias("text"))
 
 
-@query("SELECT p_partkey, upper(p_name) || ' Hà Nội đó A12 7 TP.HCM' AS text FROM part")
+@query("SELECT p_partkey, regexp_replace(regexp_replace(p_name, '\\b([a-hj-np-z]+)o([a-hj-np-z]+)\\b', '\\1O\\2', 'g'), '\\b([a-hj-np-z]+)i([a-hj-np-z]+)\\b', '\\1I\\2', 'g') || ' Hà Nội đó A12 AB1C 7 TP.HCM' AS text FROM part")
 def words_fixed(s, d):
     """0 and 1 inside words, cl for đ before a vowel, known terms; codes and numbers stay."""
-    # One O or I between other letters of a word.
-    misread = F.regexp_replace(F.regexp_replace(F.upper("p_name"), "\\b(?<a>[A-HJ-NP-Z]+)O(?<b>[A-HJ-NP-Z]+)\\b", "${a}0${b}"), "\\b(?<a>[A-HJ-NP-Z]+)I(?<b>[A-HJ-NP-Z]+)\\b", "${a}1${b}")
-    return table(s, d, "part").select("p_partkey", F.replace(C.fix_words(F.concat(misread, F.lit("  ha_noi cló A12 7 tphcm"))), F.lit("ha_noi"), F.lit("Hà Nội")).alias("text"))
+    # One o or i between other letters of a word is read as a digit.
+    misread = F.regexp_replace(F.regexp_replace("p_name", "\\b(?<a>[a-hj-np-z]+)o(?<b>[a-hj-np-z]+)\\b", "${a}0${b}"), "\\b(?<a>[a-hj-np-z]+)i(?<b>[a-hj-np-z]+)\\b", "${a}1${b}")
+    return table(s, d, "part").select("p_partkey", F.replace(C.fix_words(F.concat(misread, F.lit("  ha_noi cló A12 AB1C 7 tphcm"))), F.lit("ha_noi"), F.lit("Hà Nội")).alias("text"))
 
 
 @query("SELECT p_partkey, replace(p_name, ' ', '') || 'fi12Aa' AS label FROM part")
@@ -439,6 +439,28 @@ def transcript_of_video(s, d):
     return Reader(s, d).transcript("N00_V999", 50_000, 200_000).select("_id", "start_ms", "end_ms")
 
 
+_QUERY_VECTOR = "(SELECT CAST(any_value(embedding) AS DOUBLE[]) AS q FROM milvus_entity WHERE frame_id = (SELECT min(frame_id) FROM milvus_entity WHERE video_id <> 'N00_V999' AND len(embedding) = 1152 AND list_aggregate(list_transform(embedding, lambda x: CASE WHEN x IS NULL OR isnan(x) OR isinf(x) THEN 1 ELSE 0 END), 'sum') = 0 AND list_aggregate(list_transform(embedding, lambda x: abs(x)), 'max') > 0))"
+
+
+@query(f"""WITH v AS (SELECT DISTINCT ON (frame_id) * FROM milvus_entity WHERE len(embedding) = 1152), s AS (SELECT frame_id AS keyframe_id, video_id, shot_id, frame_idx, timestamp_ms, list_inner_product(CAST(embedding AS DOUBLE[]), q) / sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) * list_inner_product(q, q)) AS score FROM v, {_QUERY_VECTOR})
+SELECT keyframe_id, video_id, shot_id, frame_idx, timestamp_ms, round(score, 5) AS score FROM s WHERE video_id = 'N00_V999' AND NOT isnan(score) AND score >= -1 ORDER BY round(score, 6) DESC, keyframe_id LIMIT 20""")
+def vector_filtered(s, d):
+    """The nearest frames of one video to a frame of another."""
+    e = table(s, d, "milvus_entity")
+    good = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("embedding", lambda x: x != 0)
+    q = e.where((F.col("video_id") != "N00_V999") & (F.size("embedding") == 1152) & good).orderBy("frame_id").first()["embedding"]
+    return Reader(s, d).search_vector(q, 20, video_ids=["N00_V999"], min_score=-1.0).withColumn("score", F.round("score", 5))
+
+
+_SOME = [f"N00_V999_{k:06d}_kf{n:04d}" for k in range(0, 80, 2) for n in range(4)]
+
+
+@query(core_queries._search_sql("nước mắm chợ nổi", {"transcript": "transcript"}, None, f"frame_id IN ({', '.join(map(repr, _SOME))})", 30))
+def rerank_subset(s, d):
+    """Hits of another search handed on as frame_ids; statistics are those of all frames."""
+    return Reader(s, d).search_asr("nước mắm chợ nổi", 30, frame_ids=_SOME).withColumn("score", F.round("score", 5))
+
+
 @query("SELECT TRUE AS ready")
 def readiness(s, d):
     return s.range(1).select(F.lit(Reader(s, d).ready()).alias("ready"))

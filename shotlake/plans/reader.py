@@ -8,53 +8,71 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shotlake.operators import joins, search
+from shotlake.plans.lineage import scratch
 from shotlake.sources.tables import table
 
 TABLES = ("shot_doc", "seg_doc", "frame_doc", "es_doc", "milvus_entity")
 
 
+#: Fields of the index: column, accents folded?
+FIELDS = {"ocr_text": ("ocr_text", True), "ocr_api": ("ocr_api", True), "exact": ("ocr_text", False), "caption": ("caption", True), "transcript": ("transcript", True), "content_all": ("content_all", True)}
+
+_standing: dict[tuple, str] = {}
+
+
 class Reader:
     """Tables are read when first used; repeated rows of a frame count once.
 
-    With ``index``, a folder that ``build_index`` wrote, searches read postings instead of texts.
+    Text is searched in an index: that in the folder ``index``, or one that the first search of a session over these
+    files builds in the session's shared folder and the later ones use.
     """
 
     def __init__(self, spark: SparkSession, folder: str, root: str = "", index: str | None = None):
         self.spark, self.folder, self.root, self.index = spark, folder, root, index
         self.docs = table(spark, folder, "es_doc").dropDuplicates(["frame_id"])
 
+    def text_index(self) -> search.TextIndex:
+        if self.index is None:
+            key = (self.spark.sparkContext.applicationId, *sorted(table(self.spark, self.folder, "es_doc").inputFiles()))
+            if key not in _standing:
+                path = scratch(self.spark)
+                self.build_index(path)
+                _standing[key] = path
+            self.index = _standing[key]
+        return search.TextIndex.read(self.docs, "frame_id", self.index)
+
     def ready(self) -> bool:
         """All tables can be read; an error names one that can't."""
         for name in TABLES:
             table(self.spark, self.folder, name).limit(1).count()
         return True
 
-    def _text(self, fields: dict[str, tuple[str, bool]], query: str, names: list[str], accented: str | None, k: int, video_ids, frame_ids, min_score=None, docs: DataFrame | None = None) -> DataFrame:
-        docs = self.docs if docs is None else docs
-        index = search.TextIndex.read(docs, "frame_id", self.index) if self.index else search.TextIndex(docs, "frame_id", fields)
-        return search.hits(index.search(query, names, accented), docs, "frame_id", k, video_ids, frame_ids, min_score)
+    def _text(self, query: str, names: list[str], accented: str | None, k: int, video_ids, frame_ids, min_score=None) -> DataFrame:
+        return search.hits(self.text_index().search(query, names, accented), self.docs, "frame_id", k, video_ids, frame_ids, min_score)
+
+    def _indexed(self, docs: DataFrame) -> search.TextIndex:
+        return search.TextIndex(docs.withColumn("content_all", F.concat_ws(" ", "ocr_text", "ocr_api", "caption", "transcript")), "frame_id", FIELDS)
 
     def build_index(self, path: str) -> None:
         """The postings of all searches' fields as tables."""
-        docs = self._with_all()
-        fields = {"ocr_text": ("ocr_text", True), "ocr_api": ("ocr_api", True), "exact": ("ocr_text", False), "transcript": ("transcript", True), "content_all": ("content_all", True)}
-        search.TextIndex(docs, "frame_id", fields).write(path)
+        self._indexed(self.docs).write(path)
 
-    def _with_all(self) -> DataFrame:
-        return self.docs.withColumn("content_all", F.concat_ws(" ", "ocr_text", "ocr_api", "caption", "transcript"))
+    def update_index(self, path: str, docs: DataFrame) -> None:
+        """New rows of some frames (columns of es_doc, one row a frame) take the place of theirs in the index."""
+        self._indexed(docs).upsert(path)
 
     def search_vector(self, vector: Sequence[float], top_k: int = 100, video_ids: list[str] | None = None, min_score: float | None = None) -> DataFrame:
         e = table(self.spark, self.folder, "milvus_entity").dropDuplicates(["frame_id"])
         return search.hits(search.vector_scores(e, "frame_id", "embedding", vector), e, "frame_id", top_k, video_ids, None, min_score)
 
     def search_ocr(self, query: str, top_k: int = 100, video_ids: list[str] | None = None, frame_ids: list[str] | None = None) -> DataFrame:
-        return self._text({"ocr_text": ("ocr_text", True), "ocr_api": ("ocr_api", True), "exact": ("ocr_text", False)}, query, ["ocr_text", "ocr_api"], "exact", top_k, video_ids, frame_ids)
+        return self._text(query, ["ocr_text", "ocr_api"], "exact", top_k, video_ids, frame_ids)
 
     def search_asr(self, query: str, top_k: int = 100, video_ids: list[str] | None = None, frame_ids: list[str] | None = None, min_score: float | None = None) -> DataFrame:
-        return self._text({"transcript": ("transcript", True)}, query, ["transcript"], None, top_k, video_ids, frame_ids, min_score)
+        return self._text(query, ["transcript"], None, top_k, video_ids, frame_ids, min_score)
 
     def search_all(self, query: str, top_k: int = 100, video_ids: list[str] | None = None, frame_ids: list[str] | None = None) -> DataFrame:
-        return self._text({"content_all": ("content_all", True)}, query, ["content_all"], None, top_k, video_ids, frame_ids, docs=self._with_all())
+        return self._text(query, ["content_all"], None, top_k, video_ids, frame_ids)
 
     def search_object(self, labels: list[str], top_k: int = 100, video_ids: list[str] | None = None, frame_ids: list[str] | None = None, min_score: float | None = None) -> DataFrame:
         frames = table(self.spark, self.folder, "frame_doc").dropDuplicates(["_id"]).withColumnRenamed("_id", "frame_id")

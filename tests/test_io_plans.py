@@ -103,6 +103,28 @@ def test_index_written_and_read(spark, tmp_path):
     assert one == two and [d for d, _ in one] == ["a", "b"]
 
 
+def test_documents_replaced_in_an_index(spark, tmp_path):
+    path = str(tmp_path / "ix")
+    of = lambda rows: search.TextIndex(spark.createDataFrame(rows, "id string, t string"), "id", {"t": ("t", True)})
+    of([("a", "chợ nổi Cái Răng"), ("b", "chợ đêm"), ("c", "bến phà")]).write(path)
+    of([("b", "nổi trên sông"), ("d", "chợ quê"), ("c", None)]).upsert(path)
+    of([("d", "chợ quê mới")]).upsert(path)
+    docs = [("a", "chợ nổi Cái Răng"), ("b", "nổi trên sông"), ("c", None), ("d", "chợ quê mới")]
+    stored = search.TextIndex.read(spark.createDataFrame(docs, "id string, t string"), "id", path)
+    for q in ("chợ nổi", "quee", "phà"):
+        one, two = (sorted((r.doc, round(r.score, 6)) for r in x.search(q, ["t"]).collect()) for x in (stored, of(docs)))
+        assert one == two, q
+
+
+def test_queries_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    e = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=6)]) for i in range(60)], "id long, v array<float>")
+    rows = lambda: sorted(tuple(r) for r in search.batch_top(e.where("id < 20"), e, "id", "v", 3).collect())
+    whole = rows()
+    monkeypatch.setattr(search, "QUERIES", 6)
+    assert rows() == whole and len(whole) == 60
+
+
 def test_models(spark):
     models.register("enc", models.stand_in_encoder(4), "keyframe_id string, embedding array<float>")
     t = models.apply(spark.createDataFrame([("a",), ("b",)], "id string"), "enc").collect()
