@@ -32,12 +32,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shotlake.llm.fm import FMIndex, code_points
 from shotlake.operators.dyadic import periods
-from shotlake.plans.lineage import cut
+from shotlake.plans.lineage import cut, release
 
 GRAM = 48
 #: Code points of text that are hashed at a time, and of snippets in one index.
@@ -144,6 +145,30 @@ def _find_anchors(length: int):
     return run
 
 
+def _of_two_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by anchor and document those of anchors that several documents have.
+
+    The rows go by in order; only those of an anchor's first document are held until a second one is seen.
+    """
+    rest: pa.Table | None = None
+    known: int | None = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b])
+        t = (t if rest is None else pa.concat_tables([rest, t])).combine_chunks()
+        fp, doc = t.column(0).to_numpy(), t.column(1).combine_chunks()
+        new = np.r_[True, fp[1:] != fp[:-1]]
+        other = np.r_[False, pc.not_equal(doc.slice(1), doc.slice(0, len(doc) - 1)).to_numpy(zero_copy_only=False)]
+        group = np.cumsum(new) - 1
+        two = np.bincount(group, other & ~new) > 0
+        two[0] |= fp[0] == known
+        known = int(fp[-1]) if two[-1] else None
+        rest = None if two[-1] else t.slice(int(np.nonzero(new)[0][-1]))
+        if two.any():
+            yield from t.filter(pa.array(two[group])).to_batches()
+
+
 def _cut_snippets(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -207,7 +232,7 @@ def _search(length: int, every: bool):
         if not every:
             at, n = np.zeros_like(at), np.zeros_like(n)
         a, b, at, n = np.unique(np.stack([a, b, at, n]), axis=1)
-        take = pa.array(ids)
+        take = pa.array(ids, pa.binary())
         return pa.RecordBatch.from_arrays([take.take(pa.array(a)), take.take(pa.array(b)), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], names=["a", "b", "at", "size"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,27 +255,26 @@ def _search(length: int, every: bool):
 
 
 def _members(docs: DataFrame, length: int) -> DataFrame:
-    """fp, doc, start, lead, anchor, snip, sid of the snippets of anchors that more than one document has."""
+    """fp, doc, start, lead, anchor, snip, sid of the snippets of anchors that more than one document has; rows may come twice."""
     kind = dict(docs.dtypes)["doc"]
-    # One exchange of anchors serves their documents' bounds and the choice of those that two have.
-    found = docs.mapInArrow(_find_anchors(length), f"fp bigint, doc {kind}, span bigint").repartition("fp")
-    some = found.groupBy("fp").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("fp")
-    both = found.join(some.hint("shuffle_hash"), "fp", "left_semi")
+    schema = f"fp bigint, doc {kind}, span bigint"
+    found = docs.mapInArrow(_find_anchors(length), schema).repartition("fp").sortWithinPartitions("fp", "doc")
+    both = found.mapInArrow(_of_two_documents, schema)
     mine = both.groupBy("doc").agg(F.collect_set(F.struct("fp", "span")).alias("x")).select("doc", F.col("x.fp").alias("fp"), F.col("x.span").alias("span"))
     t = docs.join(mine, "doc").select("doc", "text", "fp", "span")
     t = t.mapInArrow(_cut_snippets(length), f"fp bigint, doc {kind}, start bigint, lead int, anchor int, snip string")
-    return t.withColumn("sid", F.md5(F.concat_ws("|", "fp", "lead", "anchor", "snip"))).distinct()
+    return t.withColumn("sid", F.unhex(F.md5(F.concat_ws("|", "fp", "lead", "anchor", "snip"))))
 
 
 def _kinds(members: DataFrame) -> DataFrame:
-    """fp, sid, snip, lead, anchor, n (documents), k (different snippets of the anchor)."""
-    kinds = members.groupBy("fp", "sid", "snip", "lead", "anchor").agg(F.count_distinct("doc").alias("n"))
-    return kinds.join(kinds.groupBy("fp").agg(F.count("*").alias("k")), "fp")
+    """fp, sid, snip, lead, anchor, several (documents have it), n (places), k (different snippets of the anchor)."""
+    kinds = members.groupBy("fp", "sid", "snip", "lead", "anchor").agg((F.min("doc") < F.max("doc")).alias("several"), F.count("*").alias("n"))
+    return kinds.join(members.groupBy("fp", "sid").agg(F.lit(1).alias("one")).groupBy("fp").agg(F.count("*").alias("k")), "fp")
 
 
 def _index_work(kinds: DataFrame) -> DataFrame:
     """work, sid, snip, lead, anchor, query, several: what each shard indexes (all) and searches (query)."""
-    t = kinds.withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int")).withColumn("several", F.col("n") > 1)
+    t = kinds.withColumn("blocks", F.ceil(F.col("k") / BLOCK).cast("int"))
     t = t.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     # Block i is searched in the index of the blocks i and j, for each j; one block, the usual case, stays one row.
     t = t.withColumn("j", F.explode(F.expr("if(blocks = 1, array(0), sequence(0, blocks - 1))")))
@@ -279,9 +303,10 @@ def shared_pairs(docs: DataFrame, key: str, text: str, length: int = 100) -> Dat
     """doc_id_a, doc_id_b (the smaller first): documents with a stretch of ``length`` code points in common."""
     t, links = _copies(_prepare(docs, key, text, length))
     members = cut(_members(t, length))
+    release(docs.sparkSession)  # the shuffled anchors and texts
     # Anchors with different snippets, or with one at the start of a text that several documents have.
-    kinds = _kinds(members).where("k > 1 or (lead = 0 and n > 1)")
-    found = _index_work(kinds).mapInArrow(_search(length, False), "a string, b string, at int, size int").select("a", "b")
+    kinds = _kinds(members).where("k > 1 or (lead = 0 and several)")
+    found = _index_work(kinds).mapInArrow(_search(length, False), "a binary, b binary, at int, size int").select("a", "b")
     pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     m = members.select("sid", "doc").join(kinds.select("sid", F.ceil(F.col("n") / HOLDERS).alias("blocks")), "sid")
     m = m.groupBy("sid", F.pmod(F.xxhash64("doc"), F.col("blocks")).alias("block")).agg(F.collect_set("doc").alias("docs"))
@@ -300,8 +325,9 @@ def shared_share(docs: DataFrame, key: str, text: str, length: int = 100) -> Dat
     """
     t, links = _copies(_prepare(docs, key, text, length))
     members = cut(_members(t, length))
-    kinds = _kinds(members).where("k > 1 or n > 1")
-    found = _index_work(kinds).mapInArrow(_search(length, True), "a string, b string, at int, size int")
+    release(docs.sparkSession)  # the shuffled anchors and texts
+    kinds = _kinds(members).where("k > 1 or several")
+    found = _index_work(kinds).mapInArrow(_search(length, True), "a binary, b binary, at int, size int")
     one = members.groupBy("sid").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
     hits = found.join(one.select(F.col("sid").alias("b"), "lo", "hi"), "b").groupBy("a", "at", "size").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     hits = hits.join(members.select(F.col("sid").alias("a"), "doc", "start"), "a").where("doc <> lo or doc <> hi")

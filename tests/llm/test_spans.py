@@ -99,3 +99,14 @@ def test_many_holders_of_one_passage(spark, monkeypatch):
     docs = [(k, f"{k:03d}" * 9 + "chung một đoạn dài " * 8 + ("x" * 30 if k % 2 else f"{k:04d}" * 9)) for k in range(30)]
     df = spark.createDataFrame(docs, "k long, t string")
     assert {tuple(r) for r in spans.shared_pairs(df, "k", "t").collect()} == brute(docs, 100)[0]
+
+
+def test_anchors_of_two_documents_over_batches():
+    import pyarrow as pa
+
+    rows = [(1, "a"), (1, "a"), (1, "b"), (2, "a"), (2, "a"), (3, "a"), (3, "b"), (3, "c"), (3, "c"), (4, "z")]
+    for n in (1, 2, 3, 10):
+        parts = [rows[i : i + n] for i in range(0, len(rows), n)]
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in p]), pa.array([r[1] for r in p]), pa.array([0] * len(p))], names=["fp", "doc", "span"]) for p in parts]
+        got = [(r["fp"], r["doc"]) for b in spans._of_two_documents(iter(batches)) for r in b.to_pylist()]
+        assert got == [r for r in rows if r[0] in (1, 3)]
