@@ -55,6 +55,11 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return hits.where("distance = 0").select("doc_id", "item_id")
 
 
+def p8_near(spark: SparkSession, d: str) -> DataFrame:
+    """Leaks at a word put in, left out or replaced, too: doc_id, item_id, distance."""
+    return leaks.leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_pairs(table(spark, d, "documents"), "doc_id", "text")
 
@@ -64,7 +69,7 @@ def p9_shared(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_share, p3_found, p5_found, p5_clean, p6_found, p6_texts, p7_ids, p8_found, p9_found, p9_shared)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_share, p3_found, p5_found, p5_clean, p6_found, p6_texts, p7_ids, p8_found, p8_near, p9_found, p9_shared)}
 
 
 def oracle_sql() -> dict[str, str]:
