@@ -47,16 +47,40 @@ def extractor(name: str) -> Extractor:
     return _extractors[name]
 
 
+class Refused(Exception):
+    """Raised by a model whose service refuses a call for now; the call is made again after ``seconds``."""
+
+    def __init__(self, seconds: float):
+        super().__init__(seconds)
+        self.seconds = seconds
+
+
+def paced(model: Batch, rows: pd.DataFrame, bucket: TokenBucket | None, tries: int = 5) -> pd.DataFrame:
+    """One call, when it is due, and again after each refusal."""
+    for left in range(tries - 1, -1, -1):
+        if bucket:
+            bucket.take(len(rows))
+        try:
+            return model(rows)
+        except Refused as e:
+            if not left:
+                raise
+            if bucket:
+                bucket.pause(e.seconds)
+            else:
+                time.sleep(e.seconds)
+    raise AssertionError
+
+
 def apply(df: DataFrame, name: str, per_minute: float | None = None) -> DataFrame:
-    """The model over every partition; with ``per_minute``, a partition makes at most so many calls a minute."""
+    """The model over every partition; with ``per_minute`` at most so many rows a minute, shared by the tasks that run at once."""
     factory, schema = _models[name]
+    share = per_minute / max(1, df.sparkSession.sparkContext.defaultParallelism) if per_minute else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, bucket = factory(), TokenBucket(per_minute) if per_minute else None
+        model, bucket = factory(), TokenBucket(share) if share else None
         for b in batches:
-            if bucket:
-                bucket.take(len(b))
-            yield model(b)
+            yield paced(model, b, bucket)
 
     return df.mapInPandas(run, schema)
 

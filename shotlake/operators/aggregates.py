@@ -32,8 +32,9 @@ def derive_fps(keyframes: DataFrame, pos: str, default: float = 30.0) -> DataFra
 
 
 def keyframe_stats(keyframes: DataFrame) -> DataFrame:
-    """video_id, n_keyframes, n_shots, per_shot."""
-    t = keyframes.groupBy("video_id").agg(F.count("*").alias("n_keyframes"), F.count_distinct("shot_id").alias("n_shots"))
+    """video_id, n_keyframes, n_shots, per_shot, and bytes where keyframes have their files' length."""
+    size = [F.sum("length").alias("bytes")] if "length" in keyframes.columns else []
+    t = keyframes.groupBy("video_id").agg(F.count("*").alias("n_keyframes"), F.count_distinct("shot_id").alias("n_shots"), *size)
     return t.withColumn("per_shot", F.try_divide(F.col("n_keyframes"), F.col("n_shots")))
 
 

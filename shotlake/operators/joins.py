@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,11 +130,23 @@ def pts_of_frames(frames: DataFrame, packets: DataFrame) -> DataFrame:
 
 
 def similar_within(df: DataFrame, group: str, key: str, vector: str, least: float) -> DataFrame:
-    """a, b, sim: pairs inside a group (a shot, a window: bounded) with cosine at least ``least``."""
-    a = df.select(group, F.col(key).alias("a"), F.col(vector).alias("va"))
-    b = df.select(F.col(group).alias("g2"), F.col(key).alias("b"), F.col(vector).alias("vb"))
-    t = a.join(b, (F.col(group) == F.col("g2")) & (F.col("a") < F.col("b")))
-    return t.select(group, "a", "b", C.dot(F.col("va"), F.col("vb")).alias("sim")).where(F.col("sim") >= least)
+    """a, b, sim: pairs inside a group (a shot, a window: bounded) with cosine of unit vectors at least ``least``, by blocks of matrix products."""
+    kinds = dict(df.dtypes)
+
+    def run(t: pd.DataFrame) -> pd.DataFrame:
+        t = t.sort_values("k", kind="stable")
+        keys, m = t["k"].to_numpy(), np.stack(t["v"]).astype(np.float64)
+        parts = []
+        for a in range(0, len(m), 1024):
+            s = m[a : a + 1024] @ m[a:].T
+            i, j = np.nonzero(s >= least)
+            ok = keys[a + i] < keys[a + j]
+            parts.append(pd.DataFrame({"g": t["g"].iloc[0], "a": keys[a + i[ok]], "b": keys[a + j[ok]], "sim": s[i[ok], j[ok]]}))
+        return pd.concat(parts)
+
+    t = df.where(F.col(group).isNotNull() & F.col(vector).isNotNull()).select(F.col(group).alias("g"), F.col(key).alias("k"), F.col(vector).alias("v"))
+    t = t.groupBy("g").applyInPandas(run, f"g {kinds[group]}, a {kinds[key]}, b {kinds[key]}, sim double")
+    return t.withColumnRenamed("g", group)
 
 
 def band_pairs(df: DataFrame, group: str, pos: str, value: list[str], radius: int) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from shotlake import models
 from shotlake.functions import columns as C
+from shotlake.functions import images
 from shotlake.operators import aggregates, checks, joins, merge, selection, sequence
-from shotlake.plans import core_queries, documents
+from shotlake.plans import core_queries, documents, extraction
 from shotlake.plans.core_queries import FRAMES, SEGS, SHOTS, TICKS, frames, query, segments, shots, ticks
 from shotlake.plans.lineage import scratch
 from shotlake.plans.reader import Reader
@@ -388,6 +389,34 @@ def speech_texts(s, d):
     return segments(s, d).where(F.length(text) > 0).select("_id", C.speech_text(json).alias("text"))
 
 
+_GRID = "g AS (SELECT p_partkey AS k, r, c, CAST((p_partkey * 31 + r * r * 17 + c * 7 * r) % 256 AS DOUBLE) AS v FROM part, generate_series(0, 7) a(r), generate_series(0, 7) b(c))"
+
+
+@query(f"""WITH {_GRID}, n AS (SELECT g.k, g.v, sum(o.v) AS around FROM g, (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) d(r, c), g o
+WHERE o.k = g.k AND o.r = CASE g.r + d.r WHEN -1 THEN 1 WHEN 8 THEN 6 ELSE g.r + d.r END AND o.c = CASE g.c + d.c WHEN -1 THEN 1 WHEN 8 THEN 6 ELSE g.c + d.c END GROUP BY g.k, g.r, g.c, g.v)
+SELECT CAST(k AS VARCHAR) AS key, round(var_pop(around - 4 * v), 4) AS lap_var, round(avg(v), 4) AS brightness FROM n GROUP BY k""")
+def image_figures(s, d):
+    """Sharpness and brightness of small images, mirrored at the edges."""
+    at = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.lpad(F.hex((F.col("p_partkey") * 31 + F.floor(i / 8) * F.floor(i / 8) * 17 + i % 8 * 7 * F.floor(i / 8)) % 256), 2, "0"))
+    t = table(s, d, "part").select(F.col("p_partkey").cast("string").alias("key"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.unhex(F.array_join(at, "")).alias("grey"))
+    return images.frame_figures(t).select("key", F.round("lap_var", 4).alias("lap_var"), F.round("brightness", 4).alias("brightness"))
+
+
+@query(f"WITH {FRAMES} SELECT video_id, count(*) AS n_keyframes, count(DISTINCT shot_id) AS n_shots, sum(CAST(length(image_path) AS BIGINT)) AS bytes, count(*) / count(DISTINCT shot_id) AS per_shot FROM frames GROUP BY video_id")
+def keyframe_bytes(s, d):
+    return aggregates.keyframe_stats(frames(s, d).withColumn("length", F.length("image_path").cast("long")))
+
+
+@query("SELECT DISTINCT CAST(label AS VARCHAR) AS video_id, CASE WHEN CAST(label AS VARCHAR) < '5' THEN 1 ELSE 2 END AS run FROM embeddings WHERE label IS NOT NULL")
+def extraction_run(s, d):
+    """Two runs of an extraction: the second takes the videos that the first hadn't."""
+    e = core_queries._windows(s, d).withColumns({"jpeg_size": F.col("score") + 500, "brightness": F.lit(100.0), "lap_var": F.lit(50.0)})
+    sh = e.groupBy("video_id").agg(F.min("frame_idx").alias("start_frame"), F.max("frame_idx").alias("end_frame")).withColumns({"shot_id": F.concat("video_id", F.lit("_000000")), "fps": F.lit(25.0)})
+    folder = scratch(s)
+    first = extraction.run(e.where("video_id < '5'"), sh, folder).withColumn("run", F.lit(1))
+    return first.unionByName(extraction.run(e, sh, folder).withColumn("run", F.lit(2)))
+
+
 # --- status, models, sets -----------------------------------------------------------------------------
 
 

@@ -136,6 +136,25 @@ def test_models(spark):
     assert slept == [1.0, 1.0]
 
 
+def test_refused_calls_are_made_again():
+    import pandas as pd
+
+    now, slept, calls = [0.0], [], []
+
+    def model(rows):
+        calls.append(now[0])
+        if len(calls) < 3:
+            raise models.Refused(30)
+        return rows
+
+    b = models.TokenBucket(600, lambda: now[0], lambda s: (slept.append(s), now.__setitem__(0, now[0] + s)))
+    assert len(models.paced(model, pd.DataFrame({"x": [1, 2]}), b)) == 2
+    assert calls == [0.0, 30.0, 60.0]
+    calls.clear()
+    with pytest.raises(models.Refused):
+        models.paced(model, pd.DataFrame({"x": [1]}), b, tries=2)
+
+
 def test_images():
     g = np.tile(np.arange(64, dtype=np.uint8) * 4, (64, 1))
     assert images.laplacian_variance(np.full((9, 9), 7, np.uint8)) == 0

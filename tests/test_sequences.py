@@ -42,6 +42,18 @@ def test_semantic_filter():
     assert frames[selection.SemanticFilter(0.90).window(frames, angle(0, 5, 24, 0))[0]].tolist() == [0, 155]
 
 
+def test_semantic_filter_forgets_the_oldest():
+    f = selection.SemanticFilter(0.90, history=2)
+    f.commit([0, 10], list(angle(0, 90)))
+    # The first vector is out once another is kept, so a frame like it counts as new.
+    assert f.window(np.array([20, 30, 40]), angle(1, 180, 2)) == ([1, 2], set())
+
+
+def test_lines_split_by_the_lines_own_height():
+    # Heights 10 and 30 on one line: the gap of 25 is more than one and a half times the first word's height.
+    assert selection.group_lines(np.array([[0, 10, 10, 20], [35, 0, 60, 30]], float)).tolist() == [0, 1]
+
+
 def test_diversity_nms(spark):
     m = selection.diversity_nms(np.array([0, 3, 20, 40]), angle(0, 90, 10, 60), np.array([0.1, 0.5, 0.9, 0.2]))
     assert m.tolist() == [False, True, True, True]
@@ -97,6 +109,17 @@ def test_recognised_text(spark):
     assert [r for r in df.select("a", "b", C.clean_recognised(F.col("a")).alias("c")).collect() if r.c != r.b] == []
 
 
+def test_composed_and_label_cleanup(spark):
+    df = spark.createDataFrame([("Ha\u0300 No\u0323\u0302i", "Hà Nội", "HaNoi"), ("\ufb01\uff21\u00bd", "\ufb01\uff21\u00bd", "fiA12"), (None, None, None), ("", "", ""), ("\u212b", "\u00c5", "A"), ("đ x", "đ x", "x")], "x string, composed string, label string")
+    got = df.select("*", C.composed(F.col("x")).alias("c"), C.clean_label(F.col("x")).alias("l")).collect()
+    assert [r for r in got if r.c != r.composed or r.l != r.label] == []
+
+
+def test_keyframes_of_longer_video_names(spark):
+    df = spark.createDataFrame([("L01_V0010_kf1", "L01_V001"), ("L01_V001_kf1", "L01_V001"), ("x", None)], "keyframe_id string, video_id string")
+    assert {(r.keyframe_id, r.fault) for r in checks.keyframe_faults(df).collect()} == {("L01_V0010_kf1", "video"), ("x", "video")}
+
+
 def test_labels(spark):
     df = spark.createDataFrame([("cab",)], "x string")
     ids = df.select(C.encode_chars(F.col("x"), "abc", 6).alias("i"))
