@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shotlake import models
 from shotlake.functions import columns as C
 from shotlake.functions import images
-from shotlake.operators import aggregates, checks, joins, merge, selection, sequence
+from shotlake.operators import aggregates, checks, joins, merge, selection, sequence, vectors
 from shotlake.plans import core_queries, documents, extraction
 from shotlake.plans.core_queries import FRAMES, SEGS, SHOTS, TICKS, frames, query, segments, shots, ticks
 from shotlake.plans.lineage import scratch
@@ -475,10 +475,19 @@ _QUERY_VECTOR = "(SELECT CAST(any_value(embedding) AS DOUBLE[]) AS q FROM milvus
 SELECT keyframe_id, video_id, shot_id, frame_idx, timestamp_ms, round(score, 5) AS score FROM s WHERE video_id = 'N00_V999' AND NOT isnan(score) AND score >= -1 ORDER BY round(score, 6) DESC, keyframe_id LIMIT 20""")
 def vector_filtered(s, d):
     """The nearest frames of one video to a frame of another."""
+    return Reader(s, d).search_vector(_query_vector(s, d), 20, video_ids=["N00_V999"], min_score=-1.0).withColumn("score", F.round("score", 5))
+
+
+def _query_vector(s, d):
     e = table(s, d, "milvus_entity")
-    good = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("embedding", lambda x: x != 0)
-    q = e.where((F.col("video_id") != "N00_V999") & (F.size("embedding") == 1152) & good).orderBy("frame_id").first()["embedding"]
-    return Reader(s, d).search_vector(q, 20, video_ids=["N00_V999"], min_score=-1.0).withColumn("score", F.round("score", 5))
+    return vectors.usable(e.where(F.col("video_id") != "N00_V999"), "embedding", 1152).orderBy("frame_id").first()["embedding"]
+
+
+@query(f"""WITH v AS (SELECT DISTINCT ON (frame_id) * FROM milvus_entity WHERE len(embedding) = 1152), s AS (SELECT frame_id AS keyframe_id, video_id, shot_id, frame_idx, timestamp_ms, list_inner_product(CAST(embedding AS DOUBLE[]), q) / sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) * list_inner_product(q, q)) AS score FROM v, {_QUERY_VECTOR})
+SELECT keyframe_id, video_id, shot_id, frame_idx, timestamp_ms, round(score, 5) AS score FROM s WHERE NOT isnan(score) AND score >= 0.8 ORDER BY round(score, 6) DESC, keyframe_id LIMIT 20""")
+def vector_indexed(s, d):
+    """The frames with a cosine of 0.8 and more, through the index."""
+    return Reader(s, d).search_vector(_query_vector(s, d), 20, min_score=0.8, probes=16).withColumn("score", F.round("score", 5))
 
 
 _SOME = [f"N00_V999_{k:06d}_kf{n:04d}" for k in range(0, 80, 2) for n in range(4)]

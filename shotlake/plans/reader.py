@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shotlake.operators import joins, search
+from shotlake.operators import joins, search, vectors
 from shotlake.plans.lineage import scratch
 from shotlake.sources.tables import table
 
@@ -61,9 +61,18 @@ class Reader:
         """New rows of some frames (columns of es_doc, one row a frame) take the place of theirs in the index."""
         self._indexed(docs).upsert(path)
 
-    def search_vector(self, vector: Sequence[float], top_k: int = 100, video_ids: list[str] | None = None, min_score: float | None = None) -> DataFrame:
+    def search_vector(self, vector: Sequence[float], top_k: int = 100, video_ids: list[str] | None = None, min_score: float | None = None, probes: int | None = None) -> DataFrame:
+        """The nearest frames: exact, or with ``probes`` those in so many lists of an index that the session's first such search builds."""
         e = table(self.spark, self.folder, "milvus_entity").dropDuplicates(["frame_id"])
-        return search.hits(search.vector_scores(e, "frame_id", "embedding", vector), e, "frame_id", top_k, video_ids, None, min_score)
+        if probes is None:
+            return search.hits(search.vector_scores(e, "frame_id", "embedding", vector), e, "frame_id", top_k, video_ids, None, min_score)
+        key = (self.spark.sparkContext.applicationId, len(vector), *sorted(table(self.spark, self.folder, "milvus_entity").inputFiles()))
+        if key not in _standing:
+            path = scratch(self.spark)
+            vectors.write(e, "embedding", len(vector), path)
+            _standing[key] = path
+        found = vectors.search(self.spark, _standing[key], "frame_id", "embedding", vector, probes)
+        return search.hits(found, e, "frame_id", top_k, video_ids, None, min_score)
 
     def search_ocr(self, query: str, top_k: int = 100, video_ids: list[str] | None = None, frame_ids: list[str] | None = None) -> DataFrame:
         return self._text(query, ["ocr_text", "ocr_api"], "exact", top_k, video_ids, frame_ids)

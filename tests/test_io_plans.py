@@ -116,6 +116,27 @@ def test_documents_replaced_in_an_index(spark, tmp_path):
         assert one == two, q
 
 
+def test_recall_of_the_vector_index(spark, tmp_path):
+    from shotlake.operators import vectors
+
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(150, 32))
+    x = base[rng.integers(0, 150, 3000)] + 0.3 * rng.normal(size=(3000, 32))
+    rows = [(f"f{i}", [float(v) for v in r]) for i, r in enumerate(x)] + [("zero", [0.0] * 32), ("nan", [float("nan")] * 32), ("short", [1.0]), ("null", None)]
+    df, path = spark.createDataFrame(rows, "k string, v array<float>"), str(tmp_path / "v")
+    vectors.write(df, "v", 32, path)
+    assert spark.read.parquet(f"{path}/lists").count() == 3000
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    found = want = 0
+    for i in range(0, 3000, 300):
+        near = {f"f{j}" for j in np.argsort(-(u @ u[i]))[:10]}
+        got = vectors.search(spark, path, "k", "v", [float(v) for v in x[i]], 16).orderBy(F.desc("score")).limit(10).collect()
+        found, want = found + len(near & {r.doc for r in got}), want + 10
+    assert found >= 0.9 * want
+    vectors.write(df.where("k = 'zero'"), "v", 32, str(tmp_path / "none"))
+    assert vectors.search(spark, str(tmp_path / "none"), "k", "v", [1.0] * 32).count() == 0
+
+
 def test_queries_in_blocks(spark, monkeypatch):
     rng = np.random.default_rng(0)
     e = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=6)]) for i in range(60)], "id long, v array<float>")
