@@ -50,18 +50,18 @@ PARTS, CODES = 64, 16
 ROUTES = 1000
 #: Directions of a vector at most, and how much less near than the first they may be, in units of 1 / sqrt(dim):
 #: so much the nearness to a direction scatters between two vectors of one neighbourhood.
-PROBES, SPREAD = 4, 1.0
+PROBES, SPREAD = 5, 1.3
 #: Lists of its cell that a query looks into, and queries that are worked on together.
-LISTS, BLOCK = 3, 4096
+LISTS, BLOCK = 4, 2048
 #: Estimates may fall short of the exact cosine by so much.
-SLACK = 0.1
+SLACK = 0.12
 TIE = 1e-5
 #: Share of the pairs of a list and its queries that need reranking from which the whole block is multiplied out.
 DENSE = 0.1
 #: Rows of a cell, and times the usual number of rows, beyond which it is split.
 HOT, CROWDED = 20_000, 8
 #: Vectors that are unpacked at a time, keys of vectors that a task remembers.
-WHOLE, SENT = 16_384, 2_000_000
+WHOLE, SENT = 8192, 2_000_000
 MANY_COPIES = 1000
 
 
@@ -245,8 +245,8 @@ def _index(quant: Quantizer, dim: int):
         z = zstandard.ZstdCompressor(level=1)
         sent: set[tuple[int, int]] = set()
         for whole in batches:
-            for part in range(0, whole.num_rows, 2000):
-                b = whole.slice(part, 2000)
+            for part in range(0, whole.num_rows, 1000):
+                b = whole.slice(part, 1000)
                 rows, x = _matrix(b.column(2), dim)
                 x, ok = _unit(x)
                 ha, hb = b.column(0).to_numpy()[rows], b.column(1).to_numpy()[rows]
@@ -311,6 +311,11 @@ def _search(quant: Quantizer, dim: int, k: int, least: float):
         mine = mine[np.argsort(place[mine], kind="stable")]
         starts = np.searchsorted(place[by_list], np.arange(n + 1))
 
+        def still(got: list[tuple], best: np.ndarray) -> tuple[np.ndarray, ...]:
+            i, j, cos = (np.concatenate(v) for v in zip(*got))
+            ok = cos >= best.min(1)[i] - TIE
+            return i[ok], j[ok], cos[ok]
+
         def block(q, qi, w, m, lut, middle, best) -> np.ndarray:
             """Exact cosines of queries w and members m, -1 for pairs that the estimates rule out."""
             c = codes[:, m]
@@ -332,8 +337,8 @@ def _search(quant: Quantizer, dim: int, k: int, least: float):
                 return exact
             exact = np.full(est.shape, -1.0, np.float32)
             i, j = np.nonzero(near)
-            for x in range(0, len(i), 4096):
-                s = slice(x, x + 4096)
+            for x in range(0, len(i), 2048):
+                s = slice(x, x + 2048)
                 exact[i[s], j[s]] = np.einsum("ij,ij->i", q[w[i[s]]], of(m[j[s]]), dtype=np.float64)
             return exact
 
@@ -347,6 +352,7 @@ def _search(quant: Quantizer, dim: int, k: int, least: float):
             asks = np.argsort(to, axis=None, kind="stable")
             work = [(no, w // to.shape[1]) for no, w in zip(*_runs(to.ravel()[asks], asks))]
             got: list[tuple] = []
+            held = 0
             best = np.full((len(qi), k), -1.0, np.float32)  # exact, of the members so far
             for no, who in work:
                 members = by_list[starts[no] : starts[no + 1]]
@@ -358,11 +364,14 @@ def _search(quant: Quantizer, dim: int, k: int, least: float):
                         best[w] = -np.partition(-np.concatenate([best[w], cos], axis=1), k - 1, axis=1)[:, :k]
                         i, j = np.nonzero(cos >= np.maximum(least, best[w].min(1) - TIE)[:, None])
                         got.append((w[i], m[j], cos[i, j]))
+                        held += len(i)
+                if held > 500_000:  # what has fallen behind since goes
+                    got = [still(got, best)]
+                    held = len(got[0][0])
             if not got:
                 continue
-            i, j, cos = (np.concatenate(v) for v in zip(*got))
-            ok = cos >= best.min(1)[i] - TIE
-            i, j, cos = qi[i[ok]], j[ok], cos[ok].astype(np.float64)
+            i, j, cos = still(got, best)
+            i, cos = qi[i], cos.astype(np.float64)
             if len(i):
                 cols = [pa.array(v) for v in (ha[i], hb[i], ha[j], hb[j], cos)]
                 yield pa.RecordBatch.from_arrays(cols, names=["ha", "hb", "oa", "ob", "cos"])
