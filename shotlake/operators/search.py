@@ -99,10 +99,10 @@ class TextIndex:
     def _segment(self, path: str, no: int) -> None:
         mode = "overwrite" if no == 0 else "append"
         at = lambda t: t.withColumn("segment", F.lit(no)).write.mode(mode)
-        at(self.postings.repartitionByRange("field", "term").sortWithinPartitions("field", "term", "doc")).partitionBy("segment", "field").parquet(f"{path}/postings")
+        at(self.postings.repartition("field", "term").sortWithinPartitions("field", "term", "doc")).partitionBy("segment", "field").parquet(f"{path}/postings")
         # What was just written is read for the rest: texts are taken apart once.
         mine = self.spark.read.parquet(f"{path}/postings").where(F.col("segment") == no).drop("segment")
-        at(self._keys(mine).repartitionByRange("k").sortWithinPartitions("k")).partitionBy("segment").parquet(f"{path}/keys")
+        at(self._keys(mine).repartition("k").sortWithinPartitions("k")).partitionBy("segment").parquet(f"{path}/keys")
         at(mine.groupBy("field", "doc").agg(F.max("dl").alias("dl"))).partitionBy("segment").parquet(f"{path}/lengths")
         at(self.docs.select(F.col(self.key).alias("doc")).distinct()).partitionBy("segment").parquet(f"{path}/docs")
         self._write_stats(path, no, mode)

@@ -379,16 +379,21 @@ p AS (SELECT frame_id, q, dl, len(list_filter(w, lambda x: x = q)) AS tf FROM u,
 SELECT frame_id AS doc, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (0.25 + 0.75 * dl / avg_dl))), 6) AS score FROM p JOIN df USING (q), st GROUP BY frame_id"""
 
 
+def _captions(s, d):
+    """An index that isn't stored."""
+    return search.TextIndex(table(s, d, "es_doc").dropDuplicates(["frame_id"]), "frame_id", {"caption": ("caption", True)})
+
+
 @query(_bm25_sql("caption", search.query_words(_QUERY)))
 def bm25_or(s, d):
-    return Reader(s, d).text_index().bm25(_QUERY, "caption").withColumn("score", F.round("score", 6))
+    return _captions(s, d).bm25(_QUERY, "caption").withColumn("score", F.round("score", 6))
 
 
 @query(f"""WITH {ES}, t AS (SELECT DISTINCT unnest({_terms('caption')}) AS term FROM es WHERE caption IS NOT NULL), q AS (SELECT unnest({search.query_words(_QUERY)!r}) AS q),
 x AS (SELECT q, term, CASE WHEN q = term THEN 1.0 ELSE 1 - 1 / least(length(q), length(term)) END AS weight FROM t, q WHERE {_WITHIN_ONE}),
 r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY weight DESC, term) AS r FROM x WHERE weight > 0) SELECT q, term, round(weight, 6) AS weight FROM r WHERE r <= 10 OR q = term""")
 def fuzzy_terms(s, d):
-    t = Reader(s, d).text_index().expansions(search.query_words(_QUERY)).where("field = 'caption'")
+    t = _captions(s, d).expansions(search.query_words(_QUERY))
     return t.select("q", "term", F.round("weight", 6).alias("weight"))
 
 

@@ -23,23 +23,25 @@ _standing: dict[tuple, str] = {}
 class Reader:
     """Tables are read when first used; repeated rows of a frame count once.
 
-    Text is searched in an index: that in the folder ``index``, or one that the first search of a session over these
-    files builds in the session's shared folder and the later ones use.
+    Text is searched in an index: that in the folder ``index``, or one of the fields searched, that the first such search of a session
+    over these files builds in the session's shared folder and the later ones use.
     """
 
     def __init__(self, spark: SparkSession, folder: str, root: str = "", index: str | None = None):
         self.spark, self.folder, self.root, self.index = spark, folder, root, index
         self.docs = table(spark, folder, "es_doc").dropDuplicates(["frame_id"])
 
-    def text_index(self) -> search.TextIndex:
-        if self.index is None:
-            key = (self.spark.sparkContext.applicationId, *sorted(table(self.spark, self.folder, "es_doc").inputFiles()))
+    def text_index(self, *fields: str) -> search.TextIndex:
+        """The index of all fields in the folder ``index``, or a standing one of those named."""
+        path = self.index
+        if path is None:
+            key = (self.spark.sparkContext.applicationId, fields, *sorted(table(self.spark, self.folder, "es_doc").inputFiles()))
             if key not in _standing:
                 path = scratch(self.spark)
-                self.build_index(path)
+                self._indexed(self.docs, fields).write(path)
                 _standing[key] = path
-            self.index = _standing[key]
-        return search.TextIndex.read(self.docs, "frame_id", self.index)
+            path = _standing[key]
+        return search.TextIndex.read(self.docs, "frame_id", path)
 
     def ready(self) -> bool:
         """All tables can be read; an error names one that can't."""
@@ -48,10 +50,12 @@ class Reader:
         return True
 
     def _text(self, query: str, names: list[str], accented: str | None, k: int, video_ids, frame_ids, min_score=None) -> DataFrame:
-        return search.hits(self.text_index().search(query, names, accented), self.docs, "frame_id", k, video_ids, frame_ids, min_score)
+        return search.hits(self.text_index(*names, *([accented] if accented else [])).search(query, names, accented), self.docs, "frame_id", k, video_ids, frame_ids, min_score)
 
-    def _indexed(self, docs: DataFrame) -> search.TextIndex:
-        return search.TextIndex(docs.withColumn("content_all", F.concat_ws(" ", "ocr_text", "ocr_api", "caption", "transcript")), "frame_id", FIELDS)
+    @staticmethod
+    def _indexed(docs: DataFrame, fields: Sequence[str] = tuple(FIELDS)) -> search.TextIndex:
+        t = docs.withColumn("content_all", F.concat_ws(" ", "ocr_text", "ocr_api", "caption", "transcript"))
+        return search.TextIndex(t, "frame_id", {f: FIELDS[f] for f in fields})
 
     def build_index(self, path: str) -> None:
         """The postings of all searches' fields as tables."""
